@@ -1,0 +1,34 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from titleloom.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        spark__master="local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__ui__enabled="false",
+        spark__driver__memory="8g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+@pytest.fixture(scope="session")
+def small_tables():
+    folder = Path("/root/testdata/sf0.001")
+    if not folder.exists():
+        pytest.skip("test tables are not here")
+    return str(folder)

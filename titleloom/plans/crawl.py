@@ -35,8 +35,12 @@ class CrawlResult:
 
     def counters(self) -> DataFrame:
         """One row ``(pages_crawled, unique_urls)``."""
-        crawled = self.pages.agg(F.count("*").alias("pages_crawled"))
-        return crawled.crossJoin(self.visited.agg(F.count("*").alias("unique_urls")))
+        crawled = self.pages.select(F.lit(1).alias("crawled"), F.lit(0).alias("seen"))
+        seen = self.visited.select(F.lit(0).alias("crawled"), F.lit(1).alias("seen"))
+        return crawled.unionAll(seen).agg(
+            F.coalesce(F.sum("crawled"), F.lit(0)).alias("pages_crawled"),
+            F.coalesce(F.sum("seen"), F.lit(0)).alias("unique_urls"),
+        )
 
 
 def page_graph(pages: DataFrame, domains: DataFrame) -> DataFrame:

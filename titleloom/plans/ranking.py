@@ -20,21 +20,16 @@ def top_k(
     """First ``k`` rows of each key.
 
     Up to the threshold below which Spark trims every map partition to ``k`` rows before the
-    shuffle, one window does it. Beyond it, a salted window trims first.
+    shuffle, one window does it. Beyond it, a window over salted keys trims first.
     """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > threshold:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order_columns(order)), F.lit(_SALTS)))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)))
         df = _ranked(salted, [*keys, "_salt"], order, k).drop("_salt", "_rank")
     out = _ranked(df, keys, order, k)
     return out.withColumnRenamed("_rank", rank) if rank else out.drop("_rank")
 
 
-def order_columns(order: list[Column]) -> list[Column]:
-    """The salt only has to spread rows; any stable columns of the row will do."""
-    return [F.struct(*order)] if len(order) > 1 else order
-
-
 def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
     """First ``n`` rows by a unique BIGINT made by ``ordered_ids``.
 
