@@ -380,7 +380,7 @@ def _payload(blob: Column) -> tuple[Column, Column]:
 @query
 def compressed_documents(spark, folder):
     docs = _documents(spark, folder)
-    packed = tl.compress_column(docs, _codes(spark, folder), "lang", row_id="doc_id")
+    packed = tl.compress_column(docs, _codes(spark, folder), "lang")
     padding, body = _payload(F.col("blob"))
     return packed.select(
         "doc_id",
@@ -393,8 +393,9 @@ def compressed_documents(spark, folder):
 @query
 def codec_roundtrip(spark, folder):
     docs = _documents(spark, folder)
-    packed = tl.compress_column(docs, _codes(spark, folder), "lang", row_id="doc_id")
-    back = tl.decompress_column(packed.select("doc_id", "text", "blob"), name="decoded")
+    codes = _codes(spark, folder)
+    packed = tl.compress_column(docs, codes, "lang", header=False)
+    back = tl.decompress_column(packed, name="decoded", codes=codes, scope="lang")
     return back.select(
         "doc_id",
         (F.col("decoded") == F.col("text")).alias("equal"),

@@ -149,7 +149,7 @@ def test_round_trip(spark, broadcast, monkeypatch):
         monkeypatch.setattr(codec, "fits", lambda *a, **k: False)
     docs = corpus(spark)
     codes = tl.huffman_codes(tl.char_frequencies(docs, "scope")).persist()
-    packed = tl.compress_column(docs, codes, "scope", row_id="doc_id")
+    packed = tl.compress_column(docs, codes, "scope")
     assert packed.columns == [*docs.columns, "blob"]
     got = tl.decompress_column(packed, name="back").collect()
     assert len(got) == docs.count()
@@ -159,6 +159,22 @@ def test_round_trip(spark, broadcast, monkeypatch):
         assert (row.blob is None) == (not row.text)
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_round_trip_without_headers(spark, broadcast, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr(codec, "fits", lambda *a, **k: False)
+    docs = corpus(spark)
+    codes = tl.huffman_codes(tl.char_frequencies(docs, "scope")).persist()
+    packed = tl.compress_column(docs, codes, "scope", header=False)
+    got = tl.decompress_column(packed, name="back", codes=codes, scope="scope").collect()
+    assert len(got) == docs.count()
+    for row in got:
+        assert row.back == (row.text.replace("\r\n", "\n").replace("\r", "\n") if row.text else None)
+    bits = codec.coded_bits(codes).agg(F.sum("coded_bits")).first()[0]
+    size = packed.agg(F.sum(F.octet_length("blob")), F.count("blob")).first()
+    assert bits / 8 <= size[0] <= bits / 8 + 2 * size[1]
+
+
 def test_alone(spark):
     got = tl.decompress_column(tl.compress_alone(corpus(spark)), name="back").collect()
     for row in got:

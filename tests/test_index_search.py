@@ -150,6 +150,17 @@ def test_saved_index_answers_alike(spark, tmp_path):
     assert tl.search(Index.load(spark, str(tmp_path / "index")), queries).collect() == tl.search(index, queries).collect()
 
 
+def test_one_query_skips_row_groups_of_a_saved_index(spark, tmp_path):
+    index = tl.build_index(titles(spark, [f"palabra{i} de prueba" for i in range(300)]))
+    index.save(str(tmp_path / "index"))
+    saved = Index.load(spark, str(tmp_path / "index"))
+    hits = tl.search(saved, tl.query_table(spark, "palabra7 de prueba"), k=20)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan
+    assert hits.first().id == "7" and hits.count() <= 20
+    assert hits.collect() == tl.search(index, tl.query_table(spark, "palabra7 de prueba", "x"), k=20).collect()
+
+
 def test_recall_against_all_pairs(spark, small_tables):
     from titleloom.sources.tables import read_table
 

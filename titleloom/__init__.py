@@ -18,7 +18,7 @@ from titleloom.operators.index import Index, build_index
 from titleloom.operators.pages import accepted_pages, extract_links, extract_titles
 from titleloom.operators.paging import page_counts, paginate
 from titleloom.operators.robots import robots_filter
-from titleloom.operators.search import forest_candidates, search
+from titleloom.operators.search import forest_candidates, query_table, search
 from titleloom.plans.crawl import CrawlResult, crawl_order
 from titleloom.session import build_session
 
@@ -42,6 +42,7 @@ __all__ = [
     "huffman_codes",
     "page_counts",
     "paginate",
+    "query_table",
     "robots_filter",
     "search",
     "seed_domains",

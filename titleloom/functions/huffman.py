@@ -104,11 +104,8 @@ def container_of(text: str, codes: dict[str, str]) -> bytes:
     return header_of(codes) + pack(text, codes)
 
 
-def decoded_pieces(blob: bytes):
-    """Text of a container in pieces, one per 64 KiB of code bits."""
-    (size,) = struct.unpack_from("<I", blob)
-    decoder = _decoder(bytes(blob[4:4 + size]))
-    padding, body = blob[4 + size], memoryview(blob)[5 + size:]
+def _pieces(decoder: _Decoder, packed: memoryview):
+    padding, body = packed[0], packed[1:]
     whole = len(body) - 1 if padding else len(body)
     open_bits = ""
     for start in range(0, whole, _SLICE):
@@ -121,10 +118,21 @@ def decoded_pieces(blob: bytes):
         yield decoder.read(open_bits, f"{body[whole]:08b}"[:8 - padding])[0]
 
 
+def decoded_pieces(blob: bytes):
+    """Text of a container in pieces, one per 64 KiB of code bits."""
+    (size,) = struct.unpack_from("<I", blob)
+    yield from _pieces(_decoder(bytes(blob[4:4 + size])), memoryview(blob)[4 + size:])
+
+
 def text_of(blob: bytes) -> str:
     return "".join(decoded_pieces(blob))
 
 
+def unpack(packed: bytes, header: str) -> str:
+    """Text of a padding byte and code bits, under a JSON code table."""
+    return "".join(_pieces(_decoder(header.encode("utf-8")), memoryview(packed)))
+
+
 @F.pandas_udf(T.BinaryType())
 def encode_with(text: pd.Series, table: pd.Series) -> pd.Series:
     """Containers of texts under given JSON code tables; NULL for empty text."""
@@ -134,6 +142,22 @@ def encode_with(text: pd.Series, table: pd.Series) -> pd.Series:
     )
 
 
+@F.pandas_udf(T.BinaryType())
+def pack_with(text: pd.Series, table: pd.Series) -> pd.Series:
+    """Padding byte and code bits only, for a code table that is kept elsewhere."""
+    return pd.Series(
+        [pack(t, _codes(c)) if t and c else None for t, c in zip(text, table)], dtype=object
+    )
+
+
+@F.pandas_udf(T.StringType())
+def unpack_with(packed: pd.Series, table: pd.Series) -> pd.Series:
+    return pd.Series(
+        [unpack(bytes(b), c) if b is not None and c else None for b, c in zip(packed, table)],
+        dtype=object,
+    )
+
+
 @F.pandas_udf(T.BinaryType())
 def encode_alone(text: pd.Series) -> pd.Series:
     """Containers of texts, each under a code of its own; NULL for empty text."""

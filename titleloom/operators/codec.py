@@ -87,26 +87,36 @@ def compression_report(
     return report.withColumn("saving_pct", F.when(F.col("original_bytes") > 0, saving))
 
 
+def _with_table(
+    docs: DataFrame, codes: DataFrame, scope: str | None, spread: Column
+) -> DataFrame:
+    """Add the code table of each row's scope as ``_table``.
+
+    ``codes`` should be a stored table: its size is measured to decide on a broadcast. Rows are
+    shuffled only when the tables are too large for one, and then by a salted key.
+    """
+    tables = code_tables(codes).select(F.col("scope").alias("_scope"), F.col("table").alias("_table"))
+    small = fits(codes, F.octet_length("ch") + F.col("code_len") + 16)
+    keyed = docs.withColumn("_scope", _scope(scope))
+    return lookup_join(keyed, tables, "_scope", spread, small).drop("_scope")
+
+
 def compress_column(
     docs: DataFrame,
     codes: DataFrame,
     scope: str | None = None,
     text: str = "text",
     name: str = "blob",
-    row_id: str | None = None,
+    header: bool = True,
 ) -> DataFrame:
-    """Add each text as a container under the code of its scope; NULL for empty text.
+    """Add each text, coded with the code of its scope; NULL for empty text.
 
-    ``codes`` should be a stored table: its size is measured to decide on a broadcast. Texts are
-    shuffled only when the tables are too large for one, and then by a salted key.
+    With ``header`` every value is a container of its own. Without it the code table stays in
+    ``codes`` and values hold code bits only, which suits many short texts.
     """
-    tables = code_tables(codes)
-    small = fits(codes, F.octet_length("ch") + F.col("code_len") + 16)
-    keyed = docs.withColumn("_scope", _scope(scope))
-    spread = F.col(row_id) if row_id else F.col(text)
-    joined = lookup_join(keyed, tables.withColumnRenamed("scope", "_scope"), "_scope", spread, small)
-    blob = huffman.encode_with(unix_newlines(F.col(text)), F.col("table"))
-    return joined.withColumn(name, blob).drop("_scope", "table")
+    joined = _with_table(docs, codes, scope, F.col(text))
+    coder = huffman.encode_with if header else huffman.pack_with
+    return joined.withColumn(name, coder(unix_newlines(F.col(text)), F.col("_table"))).drop("_table")
 
 
 def compress_alone(docs: DataFrame, text: str = "text", name: str = "blob") -> DataFrame:
@@ -114,6 +124,15 @@ def compress_alone(docs: DataFrame, text: str = "text", name: str = "blob") -> D
     return docs.withColumn(name, huffman.encode_alone(unix_newlines(F.col(text))))
 
 
-def decompress_column(docs: DataFrame, blob: str = "blob", name: str = "text") -> DataFrame:
-    """Add the text of a container column."""
-    return docs.withColumn(name, huffman.decode(F.col(blob)))
+def decompress_column(
+    docs: DataFrame,
+    blob: str = "blob",
+    name: str = "text",
+    codes: DataFrame | None = None,
+    scope: str | None = None,
+) -> DataFrame:
+    """Add the text of a container column, or of a column without headers when given ``codes``."""
+    if codes is None:
+        return docs.withColumn(name, huffman.decode(F.col(blob)))
+    joined = _with_table(docs, codes, scope, F.col(blob))
+    return joined.withColumn(name, huffman.unpack_with(F.col(blob), F.col("_table"))).drop("_table")

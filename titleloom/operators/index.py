@@ -51,15 +51,13 @@ class Index:
     keys: DataFrame
 
     def save(self, path: str) -> None:
-        """Write both tables. Keys are clustered so that a search reads few row groups.
+        """Write both tables, each clustered so that a small batch of queries reads few row groups.
 
-        The range key ends in the id: one key value may fill many partitions.
+        The range of the keys ends in the id: one key value may fill many partitions.
         """
-        self.docs.write.mode("overwrite").parquet(f"{path}/docs")
-        clustered = self.keys.repartitionByRange("tree", "k0", "id")
-        clustered.sortWithinPartitions("tree", "k0", "id").write.mode("overwrite").parquet(
-            f"{path}/keys"
-        )
+        for name, table, order in (("docs", self.docs, ["id"]), ("keys", self.keys, ["tree", "k0", "id"])):
+            clustered = table.repartitionByRange(*order).sortWithinPartitions(*order)
+            clustered.write.mode("overwrite").parquet(f"{path}/{name}")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Index:

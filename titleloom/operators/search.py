@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleloom.functions.minhash import jaccard_estimate, signature, token_hashes
@@ -15,12 +18,34 @@ from titleloom.plans.sizing import BROADCAST_BYTES
 CANDIDATES = 100
 MIN_SIMILARITY = 0.01
 NODE = ["tree", "depth", "prefix"]
+# Up to this many keys are turned into a filter of the scan.
+_FEW_KEYS = 256
 # Bytes that one distinct query adds to the tables below when broadcast: its nodes with their
 # prefixes, and one id per candidate.
 _NODES_BYTES = TREES * DEPTH * 120
 _CANDIDATE_BYTES = 96
 
 
+def query_table(spark: SparkSession, *texts: str) -> DataFrame:
+    """``(qid, query)`` of texts given by hand, numbered from 0."""
+    return spark.createDataFrame(list(enumerate(texts)), "qid bigint, query string")
+
+
+def _narrowed(table: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
+    """For a handful of wanted keys, filter by their values before joining.
+
+    The values reach the scan, where a saved index skips the row groups that hold none of them.
+    ``rows`` bounds how many keys there are.
+    """
+    if rows > _FEW_KEYS:
+        return table
+    match = [
+        reduce(and_, [F.col(name) == value for name, value in key.asDict().items()])
+        for key in wanted.collect()
+    ]
+    return table.filter(reduce(or_, match, F.lit(False)))
+
+
 def _small(table: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(table) if rows * row_bytes <= BROADCAST_BYTES else table
 
@@ -51,7 +76,9 @@ def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame
     query_keys = forest_keys(signed, "qset")
     query_nodes = _nodes(query_keys, "qset").drop("slots")
     first_slots = query_keys.select("tree", "k0").distinct()
-    met = index.keys.join(_small(first_slots, sets * TREES, 32), ["tree", "k0"], "left_semi")
+    met = _narrowed(index.keys, first_slots, sets * TREES).join(
+        _small(first_slots, sets * TREES, 32), ["tree", "k0"], "left_semi"
+    )
     members = _nodes(met, "pos", "id").join(
         _small(query_nodes.select(*NODE).distinct(), sets, _NODES_BYTES), NODE, "left_semi"
     )
@@ -99,7 +126,10 @@ def search(
     """
     asked, signed, sets = _signed_sets(queries)
     proposed = _candidates(index, signed, sets, k).select("qset", "id")
-    described = index.docs.select("id", "title", "url", "sig").join(
+    if sets * k <= _FEW_KEYS:
+        proposed = proposed.persist(StorageLevel.MEMORY_AND_DISK)
+    documents = _narrowed(index.docs, proposed.select("id"), sets * k)
+    described = documents.select("id", "title", "url", "sig").join(
         _small(proposed, sets * k, _CANDIDATE_BYTES), "id"
     )
     scored = described.join(

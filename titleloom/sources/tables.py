@@ -29,8 +29,17 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores for a table that is stored in fewer pieces than there are cores.
+
+    A large table has enough pieces and is left as it is; nothing is shuffled then.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def append_titles(titles: DataFrame, path: str) -> None:
