@@ -228,7 +228,7 @@ SELECT doc_id, string_agg(v::VARCHAR, ',' ORDER BY slot) AS signature FROM sig G
     "forest_keys_of_titles": f"""WITH {_TITLES}, {_INDEXED},
 {_signatures('sig', 'docs', 'id', 'title')}
 SELECT id::VARCHAR AS id, (slot // 16)::INTEGER AS tree, min(v) FILTER (WHERE slot % 16 = 0) AS k0,
-  string_agg(v::VARCHAR, ',' ORDER BY slot) AS slots FROM sig GROUP BY 1, 2""",
+  string_agg(printf('%08X', v), '' ORDER BY slot) AS slots FROM sig GROUP BY 1, 2""",
     "jaccard_pairs": f"""WITH turns AS (
   SELECT conv_id, turn, row_number() OVER () AS n, text, {_words('text')} AS words FROM conversations),
 {_signatures('sig', 'turns', 'n', 'text')},

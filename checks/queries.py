@@ -232,22 +232,24 @@ def index_counts(spark, folder):
 
 @query
 def minhash_signatures(spark, folder):
-    signed = with_signature(_documents(spark, folder), "text")
+    signed = with_signature(_documents(spark, folder), tokens(F.col("text")))
     return signed.select("doc_id", F.array_join("sig", ",").alias("signature"))
 
 
 @query
 def forest_keys_of_titles(spark, folder):
-    keys = forest_keys(with_signature(last_documents(_titles(spark, folder))), "id")
-    return keys.select("id", "tree", "k0", F.array_join("slots", ",").alias("slots"))
+    docs = last_documents(_titles(spark, folder))
+    keys = forest_keys(with_signature(docs, tokens(F.col("title"))), "id")
+    return keys.select("id", "tree", "k0", F.hex("slots").alias("slots"))
 
 
 @query
 def jaccard_pairs(spark, folder):
     """Estimated and exact similarity of each conversation turn and the next."""
-    turns = with_signature(read_table(spark, folder, "conversations"), "text").select(
-        "conv_id", "turn", tokens(F.col("text")).alias("words"), "sig"
+    rows = read_table(spark, folder, "conversations").select(
+        "conv_id", "turn", tokens(F.col("text")).alias("words")
     )
+    turns = with_signature(rows, F.col("words")).drop("trees")
     after = turns.select(
         "conv_id",
         (F.col("turn") - 1).alias("turn"),

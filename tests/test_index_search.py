@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import titleloom as tl
-from titleloom.functions.minhash import MAX_HASH
-from titleloom.operators.index import DEPTH, TREES, Index, forest_keys, last_documents
+from titleloom.functions.minhash import DEPTH, MAX_HASH, TREES
+from titleloom.operators.index import Index, forest_keys, last_documents
 from titleloom.operators.search import as_json
 
 TITLES = "id bigint, pos bigint, url string, title string"
@@ -57,9 +57,12 @@ def test_more_candidates_than_the_group_limit(spark):
 
 
 def made_index(spark, signatures):
-    rows = [(str(i), i, f"t{i}", f"u{i}", [int(v) for v in s]) for i, s in enumerate(signatures)]
-    docs = spark.createDataFrame(rows, "id string, pos bigint, title string, url string, sig array<bigint>")
-    return Index(docs, forest_keys(docs, "pos", "id"))
+    trees = lambda s: [np.array(t).astype(">u4").tobytes() for t in np.split(np.array(s), TREES)]
+    rows = [(str(i), i, f"t{i}", f"u{i}", [int(v) for v in s], trees(s)) for i, s in enumerate(signatures)]
+    docs = spark.createDataFrame(
+        rows, "id string, pos bigint, title string, url string, sig array<bigint>, trees array<binary>"
+    )
+    return Index(docs.drop("trees"), forest_keys(docs, "pos", "id"))
 
 
 def test_two_equal_slots_are_needed(spark):
@@ -130,16 +133,21 @@ def test_large_query_batches_take_joins_without_broadcast(spark, monkeypatch):
 
     values = [f"title number {i % 17} of {i % 5}" for i in range(60)]
     index = tl.build_index(titles(spark, values))
-    small = tl.search(index, ask(spark, *values)).collect()
+    small = set(tl.search(index, ask(spark, *values)).collect())
     monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
-    assert tl.search(index, ask(spark, *values)).collect() == small
+    assert set(tl.search(index, ask(spark, *values)).collect()) == small
 
 
 def test_order_and_json(spark):
     index = tl.build_index(titles(spark, ["a b c", "a b d", "a b c"]))
+    hits = tl.search(index, ask(spark, "a b c", "c b", "d"))
+    rows = hits.collect()
+    for qid in range(3):
+        got = [(r.qid, -r.similarity, r.id) for r in rows if r.qid == qid]
+        assert got == sorted(got) and got
+    changes = sum(a.qid != b.qid for a, b in zip(rows, rows[1:]))
+    assert changes == 2
     hits = tl.search(index, ask(spark, "a b c"))
-    got = [(r.similarity, r.id) for r in hits.collect()]
-    assert got == sorted(got, key=lambda r: (-r[0], r[1])) and got[0] == (1.0, "0")
     assert as_json(hits).first().result == '{"id":"0","title":"a b c","url":"http://a.com/0","similarity":1.0}'
 
 
@@ -147,7 +155,8 @@ def test_saved_index_answers_alike(spark, tmp_path):
     index = tl.build_index(titles(spark, [f"uno dos {i % 9}" for i in range(50)]))
     index.save(str(tmp_path / "index"))
     queries = ask(spark, "uno dos 3", "dos")
-    assert tl.search(Index.load(spark, str(tmp_path / "index")), queries).collect() == tl.search(index, queries).collect()
+    saved = tl.search(Index.load(spark, str(tmp_path / "index")), queries)
+    assert set(saved.collect()) == set(tl.search(index, queries).collect()) != set()
 
 
 def test_one_query_skips_row_groups_of_a_saved_index(spark, tmp_path):

@@ -26,9 +26,12 @@ def test_signatures_equal_plain_integers(spark):
     words = [f"w{i}ñ" for i in range(300)]
     texts = ["", "  "] + [" ".join(draw.choices(words, k=draw.choice([1, 2, 30, 200]))) for _ in range(40)] + [""]
     frame = spark.createDataFrame(list(enumerate(texts)), "n int, s string").coalesce(1)
-    got = frame.select("n", minhash.signature(minhash.token_hashes(tokens(F.col("s")))).alias("sig"))
+    got = frame.select("n", minhash.signed(minhash.token_hashes(tokens(F.col("s")))).alias("signed"))
     for row in got.collect():
-        assert row.sig == by_hand(set(texts[row.n].lower().split()))
+        slots = by_hand(set(texts[row.n].lower().split()))
+        assert row.signed.sig == slots
+        assert b"".join(row.signed.trees) == b"".join(v.to_bytes(4, "big") for v in slots)
+        assert {len(tree) for tree in row.signed.trees} == {64}
 
 
 def test_sets_that_cross_chunks(monkeypatch):
@@ -52,7 +55,7 @@ def test_estimate_is_near_jaccard(spark):
         right = [f"s{n}-{i}" for i in range(shared)] + [f"r{n}-{i}" for i in range(own)]
         rows.append((left, right))
     frame = spark.createDataFrame(rows, "l array<string>, r array<string>")
-    sig = lambda c: minhash.signature(minhash.token_hashes(F.col(c)))
+    sig = lambda c: minhash.signed(minhash.token_hashes(F.col(c)))["sig"]
     signed = frame.select("l", "r", sig("l").alias("ls"), sig("r").alias("rs"))
     got = signed.select(
         minhash.jaccard_estimate(F.col("ls"), F.col("rs")).alias("e"), minhash.jaccard(F.col("l"), F.col("r")).alias("x")

@@ -17,10 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NUM_PERM = 128
+TREES = 8
+DEPTH = NUM_PERM // TREES
+SLOT_BYTES = 4
 SEED = 1
 PRIME = (1 << 61) - 1
 MAX_HASH = (1 << 32) - 1
-_CHUNK = 4096
+# Tokens per step: 512 x 128 values stay in the cache of a core.
+_CHUNK = 512
 
 
 @lru_cache(maxsize=None)
@@ -38,12 +42,14 @@ def permutations(num_perm: int = NUM_PERM, seed: int = SEED) -> tuple[np.ndarray
 def token_hashes(token_set: Column) -> Column:
     """First four SHA-1 bytes of each token as a little-endian number."""
 
-    def one(token):
-        digest = F.sha1(token.cast("binary"))
-        pairs = [F.substring(digest, start, 2) for start in (7, 5, 3, 1)]
-        return F.conv(F.concat(*pairs), 16, 10).cast("bigint")
-
-    return F.transform(token_set, one)
+    # Two steps, as an expression used four times in one lambda would be computed four times.
+    digests = F.transform(token_set, lambda t: F.substring(F.sha1(t.cast("binary")), 1, 8))
+    return F.transform(
+        digests,
+        lambda d: F.conv(
+            F.concat(*[F.substring(d, start, 2) for start in (7, 5, 3, 1)]), 16, 10
+        ).cast("bigint"),
+    )
 
 
 def _permuted(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -77,21 +83,50 @@ def signatures_of(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def _signature(hashes: pa.Array) -> pa.Array:
+def _rows_of(items: pa.Array, width: int) -> pa.ListArray:
+    """Lists of equal length from items stored back to back."""
+    bounds = np.arange(0, len(items) + 1, width, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), items)
+
+
+_SIGNED = T.StructType(
+    [
+        T.StructField("sig", T.ArrayType(T.LongType())),
+        T.StructField("trees", T.ArrayType(T.BinaryType())),
+    ]
+)
+
+
+@F.arrow_udf(_SIGNED)
+def _signed(hashes: pa.Array) -> pa.Array:
     values = hashes.values.to_numpy(zero_copy_only=False)
-    offsets = hashes.offsets.to_numpy()
-    slots = signatures_of(values, offsets).astype(np.int64).ravel()
-    bounds = np.arange(0, len(slots) + 1, NUM_PERM, dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(slots))
+    slots = signatures_of(values, hashes.offsets.to_numpy())
+    sig = _rows_of(pa.array(slots.astype(np.int64).ravel()), NUM_PERM)
+    size = DEPTH * SLOT_BYTES
+    ends = np.arange(0, len(slots) * TREES * size + 1, size, dtype=np.int32)
+    packed = pa.py_buffer(slots.astype(">u4").tobytes())
+    parts = pa.BinaryArray.from_buffers(
+        pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), packed]
+    )
+    return pa.StructArray.from_arrays([sig, _rows_of(parts, TREES)], ["sig", "trees"])
+
+
+_signed = _signed.asNondeterministic()
+
+
+def signed(hashes: Column) -> Column:
+    """``(sig, trees)`` of a token-hash set: the 128 slots of its signature, and the same slots as
+    8 strings of 16 big-endian numbers, whose byte order and prefixes are those of the slots."""
+    return _signed(hashes)
 
 
-_signature = _signature.asNondeterministic()
+def first_slot(slots: Column) -> Column:
+    return F.conv(F.hex(F.substring(slots, 1, SLOT_BYTES)), 16, 10).cast("bigint")
 
 
-def signature(hashes: Column) -> Column:
-    """Signature of a token-hash set: 128 slots."""
-    return _signature(hashes)
+def prefix(slots: Column, depth: Column) -> Column:
+    """The first ``depth`` slots of a tree."""
+    return F.substring(slots, F.lit(1), depth * SLOT_BYTES)
 
 
 def equal_slots(left: Column, right: Column) -> Column:

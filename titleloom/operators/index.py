@@ -5,15 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleloom.functions.minhash import NUM_PERM, signature, token_hashes
+from titleloom.functions.minhash import first_slot, signed, token_hashes
 from titleloom.functions.text import has_title, has_tokens, tokens
 
-TREES = 8
-DEPTH = NUM_PERM // TREES
-
 
 def last_documents(docs: DataFrame, order: str = "pos") -> DataFrame:
     """One row per id: the last row that has tokens wins, at the place of the first such row.
@@ -28,19 +25,19 @@ def last_documents(docs: DataFrame, order: str = "pos") -> DataFrame:
     return latest.select(F.col("id").cast("string").alias("id"), "pos", "last.title", "last.url")
 
 
-def with_signature(rows: DataFrame, text: str = "title", name: str = "sig") -> DataFrame:
-    """Add the MinHash signature of a text column.
+def with_signature(rows: DataFrame, words: Column) -> DataFrame:
+    """Add ``sig`` and ``trees`` of a token set.
 
     Token hashes are an input of the vectorised function, so each is computed once.
     """
-    return rows.withColumn(name, signature(token_hashes(tokens(F.col(text)))))
+    added = rows.withColumn("_signed", signed(token_hashes(words)))
+    return added.select(*rows.columns, "_signed.sig", "_signed.trees")
 
 
-def forest_keys(signed: DataFrame, *keep: str) -> DataFrame:
+def forest_keys(rows: DataFrame, *keep: str) -> DataFrame:
     """Eight rows per signature: ``(tree, k0, slots)`` with the 16 slots of the tree."""
-    cuts = F.array(*[F.slice("sig", tree * DEPTH + 1, DEPTH) for tree in range(TREES)])
-    trees = signed.select(*keep, F.posexplode(cuts).alias("tree", "slots"))
-    return trees.select(*keep, "tree", F.element_at("slots", 1).alias("k0"), "slots")
+    trees = rows.select(*keep, F.posexplode("trees").alias("tree", "slots"))
+    return trees.select(*keep, "tree", first_slot(F.col("slots")).alias("k0"), "slots")
 
 
 @dataclass(frozen=True)
@@ -71,7 +68,10 @@ class Index:
 def build_index(docs: DataFrame, order: str = "pos") -> Index:
     """Index ``docs(id, title, url)``; ``order`` is the column that gives the row order.
 
-    The signed documents are cached, as a search reads them for keys and for scores.
+    The signed documents are computed now and cached, as a search reads them at the same time for
+    keys and for scores. For an index that outgrows the cache, ``save`` it and ``load`` it.
     """
-    signed = with_signature(last_documents(docs, order)).persist(StorageLevel.MEMORY_AND_DISK)
-    return Index(signed, forest_keys(signed, "pos", "id"))
+    rows = with_signature(last_documents(docs, order), tokens(F.col("title")))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows.count()
+    return Index(rows.drop("trees"), forest_keys(rows, "pos", "id"))

@@ -9,9 +9,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleloom.functions.minhash import jaccard_estimate, signature, token_hashes
+from titleloom.functions.minhash import DEPTH, TREES, jaccard_estimate, prefix
 from titleloom.functions.text import tokens
-from titleloom.operators.index import DEPTH, TREES, Index, forest_keys
+from titleloom.operators.index import Index, forest_keys, with_signature
 from titleloom.plans.ranking import top_k
 from titleloom.plans.sizing import BROADCAST_BYTES
 
@@ -22,7 +22,7 @@ NODE = ["tree", "depth", "prefix"]
 _FEW_KEYS = 256
 # Bytes that one distinct query adds to the tables below when broadcast: its nodes with their
 # prefixes, and one id per candidate.
-_NODES_BYTES = TREES * DEPTH * 120
+_NODES_BYTES = TREES * DEPTH * 96
 _CANDIDATE_BYTES = 96
 
 
@@ -62,7 +62,7 @@ def _nodes(keys: DataFrame, *keep: str) -> DataFrame:
     deep = keys.select(
         *keep, "tree", "slots", F.explode(F.sequence(F.lit(1), F.lit(DEPTH))).alias("depth")
     )
-    return deep.withColumn("prefix", F.slice("slots", F.lit(1), F.col("depth")))
+    return deep.withColumn("prefix", prefix(F.col("slots"), F.col("depth")))
 
 
 def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame:
@@ -99,11 +99,9 @@ def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame
 
 def _signed_sets(queries: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     asked = query_sets(queries)
-    signed = (
-        asked.dropDuplicates(["qset"])
-        .select("qset", signature(token_hashes(F.col("words"))).alias("sig"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    distinct = asked.dropDuplicates(["qset"])
+    signed = with_signature(distinct, F.col("words")).drop("qid", "words")
+    signed = signed.persist(StorageLevel.MEMORY_AND_DISK)
     return asked.select("qid", "qset"), signed, signed.count()
 
 
@@ -120,9 +118,11 @@ def search(
     min_sim: float = MIN_SIMILARITY,
     ordered: bool = True,
 ) -> DataFrame:
-    """``(qid, id, title, url, similarity)`` for ``queries(qid, query)``, best first.
+    """``(qid, id, title, url, similarity)`` for ``queries(qid, query)``.
 
-    Equal queries are answered once and fanned out at the end.
+    Equal queries are answered once and fanned out at the end. With ``ordered``, the hits of a
+    query stand together, best first; queries among themselves are in no order, which saves a
+    global sort with its sampling pass.
     """
     asked, signed, sets = _signed_sets(queries)
     proposed = _candidates(index, signed, sets, k).select("qset", "id")
@@ -133,7 +133,7 @@ def search(
         _small(proposed, sets * k, _CANDIDATE_BYTES), "id"
     )
     scored = described.join(
-        _small(signed.withColumnRenamed("sig", "query_sig"), sets, 1200), "qset"
+        _small(signed.select("qset", F.col("sig").alias("query_sig")), sets, 1200), "qset"
     ).select(
         "qset",
         "id",
@@ -143,7 +143,9 @@ def search(
     )
     kept = scored.filter(F.col("similarity") > min_sim)
     hits = asked.join(kept, "qset").select("qid", "id", "title", "url", "similarity")
-    return hits.orderBy("qid", F.desc("similarity"), "id") if ordered else hits
+    if not ordered:
+        return hits
+    return hits.repartition("qid").sortWithinPartitions("qid", F.desc("similarity"), "id")
 
 
 def as_json(hits: DataFrame) -> DataFrame:
