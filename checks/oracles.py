@@ -32,8 +32,9 @@ titles AS (
   SELECT page_id, """
     + _NORM.format("url")
     + r""" AS url, regexp_replace(
-    replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'),
-      '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      raw, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&copy;?', '©', 'g'),
+      '&middot;?', '·', 'g'), '&amp;?', '&', 'g'),
     '^\s+|\s+$', '', 'g') AS title
   FROM h1)"""
 )

@@ -33,6 +33,21 @@ def test_titles(spark):
     }
 
 
+def test_character_references(spark):
+    from pyspark.sql import functions as F
+
+    from titleloom.functions.html import unescape_entities
+
+    cases = {
+        "A &amp; B": "A & B", "cut&amp": "cut&", "&amp;lt;": "&lt;", "&eacute;&#233;&#xE9;&#Xe9": "éééé",
+        "&nosuch; x": "&nosuch x", "&copyright": "&copyright", "a & b &": "a & b &", "&#150;&#0;": "–\ufffd",
+        "AT&T": "AT&T", "&;": "&;", "none": "none", "&amp;&amp;": "&&",
+    }
+    frame = spark.createDataFrame([(k,) for k in cases], "s string")
+    for row in frame.select("s", unescape_entities(F.col("s")).alias("t")).collect():
+        assert row.t == cases[row.s], row
+
+
 def test_accepted_pages(spark):
     got = {r.page_id for r in tl.accepted_pages(spark.createDataFrame(PAGES, SCHEMA)).collect()}
     assert got == {1, 2, 3, 4, 5, 8, 10, 11, 12}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from html import unescape
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -28,9 +30,22 @@ _HREF = (
 )
 
 
+_REFERENCE = re.compile(r"&(?:(#(?:[0-9]+|[xX][0-9a-fA-F]+))|([A-Za-z][-.A-Za-z0-9]*));?")
+
+
+def _character(reference: re.Match) -> str:
+    """A numeric reference, or a name taken whole; an unknown name loses its semicolon."""
+    number, name = reference.groups()
+    if number:
+        return unescape(f"&{number};") or "\ufffd"
+    return html5.get(name + ";", "&" + name)
+
+
 @F.pandas_udf(T.StringType())
 def _unescape(text: pd.Series) -> pd.Series:
-    return pd.Series([None if pd.isna(t) else unescape(t) for t in text], dtype=object)
+    return pd.Series(
+        [None if pd.isna(t) else _REFERENCE.sub(_character, t) for t in text], dtype=object
+    )
 
 
 _unescape = _unescape.asNondeterministic()

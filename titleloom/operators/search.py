@@ -46,8 +46,12 @@ def _narrowed(table: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
     return table.filter(reduce(or_, match, F.lit(False)))
 
 
+def _is_small(rows: int, row_bytes: int) -> bool:
+    return rows * row_bytes <= BROADCAST_BYTES
+
+
 def _small(table: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    return F.broadcast(table) if rows * row_bytes <= BROADCAST_BYTES else table
+    return F.broadcast(table) if _is_small(rows, row_bytes) else table
 
 
 def query_sets(queries: DataFrame) -> DataFrame:
@@ -79,9 +83,12 @@ def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame
     met = _narrowed(index.keys, first_slots, sets * TREES).join(
         _small(first_slots, sets * TREES, 32), ["tree", "k0"], "left_semi"
     )
-    members = _nodes(met, "pos", "id").join(
-        _small(query_nodes.select(*NODE).distinct(), sets, _NODES_BYTES), NODE, "left_semi"
-    )
+    members = _nodes(met, "pos", "id")
+    if _is_small(sets, _NODES_BYTES):
+        # Else the cut comes first: it trims hot nodes before any shuffle, the join drops the rest.
+        members = members.join(
+            F.broadcast(query_nodes.select(*NODE).distinct()), NODE, "left_semi"
+        )
     place = [F.col("slots"), F.col("pos"), F.col("id")]
     lists = top_k(members, NODE, place, k)
     order = F.struct((-F.col("depth")).alias("up"), "tree", "slots", "pos")
