@@ -6,7 +6,7 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleloom.functions.minhash import DEPTH, TREES, jaccard_estimate, prefix
@@ -20,9 +20,8 @@ MIN_SIMILARITY = 0.01
 NODE = ["tree", "depth", "prefix"]
 # Up to this many keys are turned into a filter of the scan.
 _FEW_KEYS = 256
-# Bytes that one distinct query adds to the tables below when broadcast: its nodes with their
-# prefixes, and one id per candidate.
-_NODES_BYTES = TREES * DEPTH * 96
+# Bytes of one row of the tables below when broadcast.
+_PREFIX_BYTES = 96
 _CANDIDATE_BYTES = 96
 
 
@@ -61,35 +60,56 @@ def query_sets(queries: DataFrame) -> DataFrame:
     return words.filter(F.size("words") > 0).select("qid", key.alias("qset"), "words")
 
 
-def _nodes(keys: DataFrame, *keep: str) -> DataFrame:
-    """Every prefix of the slots of a tree."""
+def _nodes(keys: DataFrame, reach: Column, *keep: str) -> DataFrame:
+    """Every prefix of up to ``reach`` slots of a tree."""
     deep = keys.select(
-        *keep, "tree", "slots", F.explode(F.sequence(F.lit(1), F.lit(DEPTH))).alias("depth")
+        *keep, "tree", "slots", F.explode(F.sequence(F.lit(1), reach)).alias("depth")
     )
     return deep.withColumn("prefix", prefix(F.col("slots"), F.col("depth")))
 
 
+def _reaching(met: DataFrame, query_keys: DataFrame, sets: int) -> DataFrame:
+    """Add ``reach``, a bound on the slots that a tree shares with any query.
+
+    Prefixes of two and of four slots are looked up in turn; most documents fail the first.
+    """
+    if not _is_small(sets, TREES * _PREFIX_BYTES):
+        return met.withColumn("reach", F.lit(DEPTH))
+    for depth in (2, 4):
+        at, known = f"at{depth}", f"known{depth}"
+        asked = query_keys.select("tree", prefix(F.col("slots"), F.lit(depth)).alias(at)).distinct()
+        met = met.withColumn(at, prefix(F.col("slots"), F.lit(depth))).join(
+            F.broadcast(asked.withColumn(known, F.lit(True))), ["tree", at], "left"
+        )
+    reach = F.when(F.col("known4"), DEPTH).when(F.col("known2"), 3).otherwise(1)
+    return met.withColumn("reach", reach).drop("at2", "known2", "at4", "known4")
+
+
 def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame:
     """First ``k`` documents per query set in the order in which the forest meets them.
 
     The forest goes from the longest shared prefix to the shortest, through the trees in turn,
     and within a tree in slot order. A document outside the first ``k`` of a node is preceded by
     ``k`` others at every query of that node, so nodes are cut to ``k`` before queries meet
-    documents, and no bucket of documents is ever paired with its queries.
+    documents, and no bucket of documents is ever paired with its queries. A first cut, by the
+    prefix that a document can share at most, trims hot buckets and copies on the map side,
+    before a row is repeated per depth.
     """
     query_keys = forest_keys(signed, "qset")
-    query_nodes = _nodes(query_keys, "qset").drop("slots")
+    query_nodes = _nodes(query_keys, F.lit(DEPTH), "qset").drop("slots")
     first_slots = query_keys.select("tree", "k0").distinct()
     met = _narrowed(index.keys, first_slots, sets * TREES).join(
         _small(first_slots, sets * TREES, 32), ["tree", "k0"], "left_semi"
     )
-    members = _nodes(met, "pos", "id")
-    if _is_small(sets, _NODES_BYTES):
-        # Else the cut comes first: it trims hot nodes before any shuffle, the join drops the rest.
+    place = [F.col("slots"), F.col("pos"), F.col("id")]
+    shared = _reaching(met, query_keys, sets).withColumn(
+        "shared", prefix(F.col("slots"), F.col("reach"))
+    )
+    members = _nodes(top_k(shared, ["tree", "shared"], place, k), F.col("reach"), "pos", "id")
+    if _is_small(sets, TREES * DEPTH * _PREFIX_BYTES):
         members = members.join(
             F.broadcast(query_nodes.select(*NODE).distinct()), NODE, "left_semi"
         )
-    place = [F.col("slots"), F.col("pos"), F.col("id")]
     lists = top_k(members, NODE, place, k)
     order = F.struct((-F.col("depth")).alias("up"), "tree", "slots", "pos")
     # One exchange by query set serves both the merge over trees and the rank.
