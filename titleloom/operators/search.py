@@ -106,10 +106,6 @@ def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame
         "shared", prefix(F.col("slots"), F.col("reach"))
     )
     members = _nodes(top_k(shared, ["tree", "shared"], place, k), F.col("reach"), "pos", "id")
-    if _is_small(sets, TREES * DEPTH * _PREFIX_BYTES):
-        members = members.join(
-            F.broadcast(query_nodes.select(*NODE).distinct()), NODE, "left_semi"
-        )
     lists = top_k(members, NODE, place, k)
     order = F.struct((-F.col("depth")).alias("up"), "tree", "slots", "pos")
     # One exchange by query set serves both the merge over trees and the rank.
