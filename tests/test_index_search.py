@@ -138,6 +138,13 @@ def test_large_query_batches_take_joins_without_broadcast(spark, monkeypatch):
     assert set(tl.search(index, ask(spark, *values)).collect()) == small
 
 
+def test_ids_of_any_kind(spark):
+    rows = [(f"doc-{i}" * 20, i, None, f"uno {i % 3}") for i in range(9)]
+    index = tl.build_index(spark.createDataFrame(rows, "id string, pos bigint, url string, title string"))
+    got = tl.search(index, ask(spark, "uno 1")).collect()
+    assert [r.id for r in got][:3] == [f"doc-{i}" * 20 for i in (1, 4, 7)] and got[0].url is None
+
+
 def test_order_and_json(spark):
     index = tl.build_index(titles(spark, ["a b c", "a b d", "a b c"]))
     hits = tl.search(index, ask(spark, "a b c", "c b", "d"))

@@ -39,8 +39,11 @@ def expected(base, link):
 
 def resolve(spark, pairs):
     frame = spark.createDataFrame([(i, b, h) for i, (b, h) in enumerate(pairs)], "n int, b string, h string")
-    got = frame.select("n", urls.normalize_url(F.col("b"), F.col("h")).alias("u"))
-    return {r.n: r.u for r in got.collect()}
+    both = urls.resolve_links(frame, "b", "h", "v").withColumn("u", urls.normalize_url(F.col("b"), F.col("h")))
+    assert both.columns == ["n", "b", "h", "v", "u"]
+    rows = both.collect()
+    assert all(r.u == r.v for r in rows)
+    return {r.n: r.u for r in rows}
 
 
 def test_links(spark):

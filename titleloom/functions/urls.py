@@ -11,7 +11,7 @@ from html import unescape
 from urllib.parse import urldefrag, urljoin, urlparse
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,10 +41,9 @@ def _normalize(base: str | None, link: str | None) -> str | None:
 
 
 @F.pandas_udf(T.StringType())
-def _normalize_odd(base: pd.Series, link: pd.Series) -> pd.Series:
-    return pd.Series(
-        [_normalize(b, None if pd.isna(h) else h) for b, h in zip(base, link)], dtype=object
-    )
+def _normalize_odd(rows: pd.DataFrame) -> pd.Series:
+    pairs = zip(rows["base"], rows["link"])
+    return pd.Series([_normalize(*(None if pd.isna(v) else v for v in p)) for p in pairs], dtype=object)
 
 
 # Evaluated once per row: a deterministic one would be copied into every filter above it.
@@ -52,7 +51,7 @@ _normalize_odd = _normalize_odd.asNondeterministic()
 
 
 def without_fragment(url: Column) -> Column:
-    return F.regexp_replace(url, r"(?s)#.*\z", "")
+    return F.substring_index(url, "#", 1)
 
 
 def without_last_slash(url: Column) -> Column:
@@ -82,6 +81,33 @@ def is_web_scheme(url: Column) -> Column:
     return scheme(url).isin("http", "https")
 
 
+def _settled(base: Column, link: Column | None) -> Column:
+    """Joined URL of the shapes that need no parser, else NULL."""
+    if link is None:
+        return F.when(base.rlike(_ABSOLUTE), base)
+    nothing = F.lit(None).cast("string")
+    own_origin = F.regexp_extract(base, r"\Ahttps?://[^/?#]+", 0)
+    return (
+        F.when(~base.rlike(_ABSOLUTE), nothing)
+        .when(link.isNull() | (link == "") | link.rlike(_ONLY_FRAGMENT), base)
+        .when(F.contains(link, F.lit("&")), nothing)
+        .when(link.rlike(_ROOTED), F.concat(own_origin, link))
+        .when(link.rlike(_ABSOLUTE), link)
+        .when(link.rlike(_SCHEMELESS), F.concat(scheme(base), F.lit(":"), link))
+    )
+
+
+def _finished(settled: Column, base: Column, link: Column | None) -> Column:
+    if link is None:
+        rejected = base.rlike(_OTHER_SCHEME)
+        link = F.lit(None).cast("string")
+    else:
+        rejected = base.rlike(_ABSOLUTE) & F.coalesce(link.rlike(_OTHER_SCHEME), F.lit(False))
+    odd = settled.isNull() & base.isNotNull() & ~rejected
+    rest = _normalize_odd(F.when(odd, F.struct(base.alias("base"), link.alias("link"))))
+    return F.coalesce(without_last_slash(without_fragment(settled)), rest)
+
+
 def normalize_url(base: Column, link: Column | None = None) -> Column:
     """Absolute URL without fragment and without one trailing slash.
 
@@ -89,23 +115,11 @@ def normalize_url(base: Column, link: Column | None = None) -> Column:
     empty or NULL link means the base itself. NULL for anything that is not http(s) or is
     malformed.
     """
-    plain_base = base.rlike(_ABSOLUTE)
-    if link is None:
-        joined = F.when(plain_base, base)
-        rejected = base.rlike(_OTHER_SCHEME)
-        odd_link = F.lit(None).cast("string")
-    else:
-        empty = link.isNull() | (link == "")
-        joined = (
-            F.when(~plain_base, F.lit(None).cast("string"))
-            .when(empty | link.rlike(_ONLY_FRAGMENT), base)
-            .when(F.contains(link, F.lit("&")), F.lit(None).cast("string"))
-            .when(link.rlike(_ROOTED), F.concat(origin(base), link))
-            .when(link.rlike(_ABSOLUTE), link)
-            .when(link.rlike(_SCHEMELESS), F.concat(scheme(base), F.lit(":"), link))
-        )
-        rejected = plain_base & F.coalesce(link.rlike(_OTHER_SCHEME), F.lit(False))
-        odd_link = link
-    odd = joined.isNull() & base.isNotNull() & ~rejected
-    native = without_last_slash(without_fragment(joined))
-    return F.coalesce(native, _normalize_odd(F.when(odd, base), F.when(odd, odd_link)))
+    return _finished(_settled(base, link), base, link)
+
+
+def resolve_links(rows: DataFrame, base: str, link: str, name: str) -> DataFrame:
+    """Add :func:`normalize_url` of two columns, in two steps that match each link only once."""
+    first, second = F.col(base), F.col(link)
+    settled = rows.withColumn("_settled", _settled(first, second))
+    return settled.withColumn(name, _finished(F.col("_settled"), first, second)).drop("_settled")

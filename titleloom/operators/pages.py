@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titleloom.functions.html import h1_source, h1_title, hrefs, visible_html
-from titleloom.functions.urls import normalize_url
+from titleloom.functions.urls import normalize_url, resolve_links
 
 
 def is_html_response(pages: DataFrame) -> Column:
@@ -45,6 +45,5 @@ def extract_links(pages: DataFrame) -> DataFrame:
     )
     # The outer form: the inner one adds a filter that extracts all links a second time.
     links = found.select("page_id", "src", F.posexplode_outer("hrefs").alias("pos", "href"))
-    return links.filter(F.col("pos").isNotNull()).select(
-        "page_id", "src", normalize_url(F.col("src"), F.col("href")).alias("dst"), "pos"
-    ).filter(F.col("dst").isNotNull())
+    resolved = resolve_links(links.filter(F.col("pos").isNotNull()), "src", "href", "dst")
+    return resolved.select("page_id", "src", "dst", "pos").filter(F.col("dst").isNotNull())

@@ -13,16 +13,16 @@ from titleloom.functions.minhash import DEPTH, TREES, jaccard_estimate, prefix
 from titleloom.functions.text import tokens
 from titleloom.operators.index import Index, forest_keys, with_signature
 from titleloom.plans.ranking import top_k
-from titleloom.plans.sizing import BROADCAST_BYTES
+from titleloom.plans.sizing import BROADCAST_BYTES, fits
 
 CANDIDATES = 100
 MIN_SIMILARITY = 0.01
 NODE = ["tree", "depth", "prefix"]
 # Up to this many keys are turned into a filter of the scan.
 _FEW_KEYS = 256
-# Bytes of one row of the tables below when broadcast.
+# Bounds for one row of the tables below when broadcast.
 _PREFIX_BYTES = 96
-_CANDIDATE_BYTES = 96
+_SIGNATURE_BYTES = 1200
 
 
 def query_table(spark: SparkSession, *texts: str) -> DataFrame:
@@ -149,15 +149,15 @@ def search(
     """
     asked, signed, sets = _signed_sets(queries)
     proposed = _candidates(index, signed, sets, k).select("qset", "id")
-    if sets * k <= _FEW_KEYS:
-        proposed = proposed.persist(StorageLevel.MEMORY_AND_DISK)
+    # Ids have any length, so their size is measured; the cache keeps that from costing a second run.
+    proposed = proposed.persist(StorageLevel.MEMORY_AND_DISK)
+    small = fits(proposed, F.octet_length("id") + _PREFIX_BYTES, BROADCAST_BYTES)
     documents = _narrowed(index.docs, proposed.select("id"), sets * k)
     described = documents.select("id", "title", "url", "sig").join(
-        _small(proposed, sets * k, _CANDIDATE_BYTES), "id"
+        F.broadcast(proposed) if small else proposed, "id"
     )
-    scored = described.join(
-        _small(signed.select("qset", F.col("sig").alias("query_sig")), sets, 1200), "qset"
-    ).select(
+    query_sigs = signed.select("qset", F.col("sig").alias("query_sig"))
+    scored = described.join(_small(query_sigs, sets, _SIGNATURE_BYTES), "qset").select(
         "qset",
         "id",
         "title",

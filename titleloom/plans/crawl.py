@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titleloom.functions.html import h1_source, h1_title, hrefs, visible_html
-from titleloom.functions.urls import normalize_url
+from titleloom.functions.urls import normalize_url, resolve_links
 from titleloom.operators.frontier import (
     new_urls,
     seed_domains,
@@ -98,14 +98,13 @@ def crawl_order(
         left -= size
         if size == 0:
             break
-        links = level.select(
-            F.col("pos").alias("parent_pos"), "url", F.posexplode_outer("hrefs").alias("link", "href")
-        ).filter(F.col("link").isNotNull()).select(
-            "parent_pos",
-            F.col("link").alias("pos"),
-            normalize_url(F.col("url"), F.col("href")).alias("dst"),
+        hrefs_of = level.withColumnRenamed("pos", "parent_pos").select(
+            "parent_pos", "url", F.posexplode_outer("hrefs").alias("pos", "href")
+        )
+        links = resolve_links(hrefs_of.filter(F.col("pos").isNotNull()), "url", "href", "dst")
+        near = within_domains(
+            links.select("parent_pos", "pos", "dst").filter(F.col("dst").isNotNull()), domains
         )
-        near = within_domains(links.filter(F.col("dst").isNotNull()), domains)
         fresh = ordered_ids(
             new_urls(near, visited), [F.col("parent_pos"), F.col("link_pos")], "pos"
         )
