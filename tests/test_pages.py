@@ -107,3 +107,16 @@ def test_html_is_searched_once(spark):
     for frame in (tl.extract_titles(pages), tl.extract_links(pages)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert plan.count("regexp_extract_all(") == 1, plan
+
+
+def test_scans_read_only_what_is_needed(spark, small_tables):
+    from checks.queries import QUERIES
+
+    def schema_of(name):
+        plan = QUERIES[name](spark, small_tables)._jdf.queryExecution().executedPlan().toString()
+        return {part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]}
+
+    assert schema_of("normalize_urls") == {"page_id:bigint,url:string"}
+    assert schema_of("page_titles") == {"page_id:bigint,url:string,html:string"}
+    assert schema_of("char_frequencies") == {"text:string,lang:string"}
+    assert schema_of("dedup_last") == {"conv_id:bigint,turn:bigint,role:string,text:string"}
