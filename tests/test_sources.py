@@ -42,15 +42,15 @@ def test_csv(spark, tmp_path):
 
 
 def test_csv_container(spark, tmp_path):
-    (tmp_path / "t.ziphuff").write_bytes(huffman.container_of(CSV, huffman.code_table(Counter(CSV))))
+    (tmp_path / "t.bin").write_bytes(huffman.container_of(CSV, huffman.code_table(Counter(CSV))))
     check(containers.read_titles_container(spark, str(tmp_path)))
     row = containers.read_container_text(spark, str(tmp_path)).first()
-    assert row.text == CSV and row.path.endswith("t.ziphuff")
+    assert row.text == CSV and row.path.endswith("t.bin")
 
 
 def test_container_in_many_batches(spark, tmp_path, monkeypatch):
     text = "id,url,title\n" + "".join(f"{i},u{i},título {i}\n" for i in range(25_000))
-    (tmp_path / "t.ziphuff").write_bytes(huffman.container_of(text, huffman.code_table(Counter(text))))
+    (tmp_path / "t.bin").write_bytes(huffman.container_of(text, huffman.code_table(Counter(text))))
     rows = containers.read_titles_container(spark, str(tmp_path))
     assert rows.count() == 25_000
     assert rows.orderBy(F.desc("pos")).first().title == "título 24999"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from titleloom.functions.urls import origin
 
+# Fixed value: the default agent name that rules are looked up for.
 AGENT = "MySimpleCrawler/1.0"
 _RULES = "array<struct<allow:boolean,path:string>>"
 
