@@ -43,3 +43,34 @@ WITH normal AS (
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
 FROM normal WINDOW same AS (PARTITION BY norm)"""
+
+
+ORACLES["op3_decontamination"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM documents),
+item_words AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, least(len(words), 10) AS size,
+         array_to_string(words[i : i + least(len(words), 10) - 1], ' ') AS run
+  FROM item_words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS spot(i) WHERE len(words) > 0),
+runs AS (
+  SELECT doc_id, i, size, array_to_string(words[i : i + size - 1], ' ') AS run
+  FROM doc_words, (SELECT DISTINCT size FROM windows) AS sizes, unnest(range(1, len(words) - size + 2)) AS spot(i)),
+found AS (
+  SELECT doc_id, i, runs.size, item FROM runs JOIN windows ON runs.size = windows.size AND runs.run = windows.run),
+hit AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM found, unnest(range(i, i + size)) AS spot(j) GROUP BY doc_id),
+names AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)"""

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titleloom.llm.common import table
+from titleloom.llm.common import table, working_path
+from titleloom.llm.decontamination import match_report
 from titleloom.llm.exact_dedup import content_groups
 from titleloom.llm.mixing import mixed_sizes
+from titleloom.llm.token_records import read_records, write_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -18,6 +20,25 @@ def query(function):
     return function
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    path = working_path(spark, "token-records")
+    write_records(table(spark, folder, "documents"), path, tokenizer_path())
+    return read_records(spark, path, with_ids=False)
+
+
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return match_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op5_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_sizes(table(spark, folder, "documents"))
