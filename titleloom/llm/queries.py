@@ -10,6 +10,7 @@ from titleloom.llm.common import table, working_path
 from titleloom.llm.decontamination import match_report
 from titleloom.llm.exact_dedup import content_groups
 from titleloom.llm.mixing import mixed_sizes
+from titleloom.llm.simhash_dedup import near_duplicates
 from titleloom.llm.token_records import read_records, write_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +45,11 @@ def op5_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_sizes(table(spark, folder, "documents"))
 
 
+@query
+def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return content_groups(table(spark, folder, "documents"))
