@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from titleloom.llm.common import table, working_path
 from titleloom.llm.decontamination import match_report
 from titleloom.llm.exact_dedup import content_groups
+from titleloom.llm.language_id import identify_languages
 from titleloom.llm.mixing import mixed_sizes
 from titleloom.llm.simhash_dedup import near_duplicates
 from titleloom.llm.token_records import read_records, write_records
@@ -21,6 +22,11 @@ def query(function):
     return function
 
 
+@query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_languages(table(spark, folder, "documents"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Place of a public tokenizer file."""
     import public_tokenizers
