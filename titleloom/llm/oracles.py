@@ -4,6 +4,16 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op4_warc"] = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, '')))::BIGINT AS size FROM pages),
+marked AS (
+  SELECT page_id, html, size, max(page_id) OVER (PARTITION BY html) AS last FROM payloads)
+SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN size >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= 1000 AND last <> page_id THEN last END AS refers_to
+FROM marked"""
+
 ORACLES["op5_source_mixture"] = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,

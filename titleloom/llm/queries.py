@@ -13,6 +13,7 @@ from titleloom.llm.language_id import identify_languages
 from titleloom.llm.mixing import mixed_sizes
 from titleloom.llm.simhash_dedup import near_duplicates
 from titleloom.llm.token_records import read_records, write_records
+from titleloom.llm.warc import archived_pages, page_records, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -46,6 +47,13 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return match_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = working_path(spark, "warc")
+    write_warc(page_records(table(spark, folder, "pages")), path)
+    return archived_pages(spark, path)
+
+
 @query
 def op5_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_sizes(table(spark, folder, "documents"))
