@@ -20,10 +20,12 @@ SPARK_TYPES = {
 
 
 def rows_of(frame: pd.DataFrame) -> list[tuple]:
-    """Rows in a fixed order, with columns by name and floats rounded for comparison."""
+    """Rows in a fixed order, with columns by name and floats rounded; pandas has nulls among integers as NaN."""
     def plain(value):
         if isinstance(value, float):
-            return "nan" if value != value else repr(round(value, 9))
+            if value != value:
+                return "null"
+            return str(int(value)) if value.is_integer() else repr(round(value, 9))
         if value is None or value is pd.NA:
             return "null"
         if hasattr(value, "item"):
