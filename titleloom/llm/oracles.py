@@ -47,6 +47,22 @@ SELECT doc_id, size, source_size, target,
                 THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM running"""
 
+ORACLES["op6_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped AS (
+  SELECT *, regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS role_in,
+         regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS text_in
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|turn|>') + length(role_in) + length('<|text|>') + length(text_in) + length('<|end|>'))::BIGINT
+         AS formatted_chars
+FROM escaped GROUP BY conv_id"""
+
 ORACLES["op8_exact_dedup"] = r"""
 WITH normal AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)

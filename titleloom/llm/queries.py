@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from titleloom.llm.chat_format import FORMATTED, digest_formatted, format_conversations
 from titleloom.llm.common import table, working_path
 from titleloom.llm.decontamination import match_report
 from titleloom.llm.exact_dedup import content_groups
 from titleloom.llm.language_id import identify_languages
 from titleloom.llm.mixing import mixed_sizes
+from titleloom.llm.quality_resampling import resample
 from titleloom.llm.simhash_dedup import near_duplicates
 from titleloom.llm.token_records import read_records, write_records
 from titleloom.llm.warc import archived_pages, page_records, write_warc
@@ -59,6 +61,17 @@ def op5_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_sizes(table(spark, folder, "documents"))
 
 
+@query
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts look like control strings."""
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    path = working_path(spark, "formatted")
+    format_conversations(turns.unionByName(probe), tokenizer_path()).write.parquet(path)
+    return digest_formatted(spark.read.schema(FORMATTED).parquet(path))
+
+
 @query
 def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
@@ -67,3 +80,8 @@ def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return content_groups(table(spark, folder, "documents"))
+
+
+@query
+def op10_quality_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
