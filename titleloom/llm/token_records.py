@@ -19,10 +19,12 @@ Defined results
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,30 +63,33 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks; idle threads would only spin
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.limit = cache_words
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _ask(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, self.dtype).tobytes() for one in found]
+        return [array(self.code, one.ids).tobytes() for one in found]
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of words that stand after a blank, which is not part of the keys."""
         got = list(map(self.young.get, words))
-        if None in got:
-            wanted = {word for word, ids in zip(words, got, strict=True) if ids is None}
+        unknown = [i for i, ids in enumerate(got) if ids is None] if None in got else []
+        if unknown:
             if len(self.young) > self.limit:
                 self.young, self.old = {}, self.young
-            known = {word: self.old[word] for word in wanted if word in self.old}
-            new = list(wanted.difference(known))
+            known = {word: self.old.get(word) for word in {words[i] for i in unknown}}
+            new = [word for word, ids in known.items() if ids is None]
             known.update(zip(new, self._ask([" " + word for word in new]), strict=True))
             self.young.update(known)
-            got = [ids if ids is not None else known[word] for word, ids in zip(words, got, strict=True)]
+            for i in unknown:
+                got[i] = known[words[i]]
         return got
 
     def encode(self, text: str) -> bytes:
