@@ -14,6 +14,7 @@ from titleloom.llm.language_id import identify_languages
 from titleloom.llm.mixing import mixed_sizes
 from titleloom.llm.quality_resampling import resample
 from titleloom.llm.simhash_dedup import near_duplicates
+from titleloom.llm.suffix_dedup import remove_repeats
 from titleloom.llm.token_records import read_records, write_records
 from titleloom.llm.warc import archived_pages, page_records, write_warc
 
@@ -82,6 +83,11 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return content_groups(table(spark, folder, "documents"))
 
 
+@query
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query
 def op10_quality_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
