@@ -34,6 +34,8 @@ PER_LANGUAGE = 400
 MOST_ROWS = 8000
 #: One row in so many is held out from learning.
 FOLDS = 3
+#: Score below which a document is rejected where documents are filtered.
+LEAST_SCORE = 0.3
 HELD_OUT_FOLD = 1
 
 # Families of languages by ISO 639-1 code. Any other language is a family of its own.
@@ -200,17 +202,19 @@ def fit_languages(
     return LanguageModel.fit(np.stack([np.frombuffer(v, np.float32) for _, v in got]), [name for name, _ in got])
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
-    names = [name for name in docs.columns if name not in ("lang_pred", "score")]
-    rows = docs.select(*names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
+def predict_languages(
+    docs: DataFrame, model: LanguageModel, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` with the predicted language and its score; columns of these names are replaced."""
+    others = [name for name in docs.columns if name not in names]
+    letters = F.when(_has_letters(F.col(text)), 1.0).otherwise(0.0)
+    marked = docs.select(*others, F.lit("").alias(names[0]), letters.alias(names[1]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    marked = rows.withColumn("score", F.when(_has_letters(F.col(text)), 1.0).otherwise(0.0))
 
     def predict(batches):
         model = shared.value
         for batch in batches:
-            column, letters = batch.column(text), batch.column("score").to_pylist()
+            column, letters = batch.column(text), batch.column(names[1]).to_pylist()
             found = [
                 model.predict(features(blob(column, i))) if letters[i] else (UNDETERMINED, 0.0)
                 for i in range(len(batch))
@@ -221,7 +225,23 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text")
                 names=batch.schema.names,
             )
 
-    return marked.mapInArrow(predict, rows.schema)
+    return marked.mapInArrow(predict, marked.schema)
+
+
+def keep_identified(
+    docs: DataFrame, least: float = LEAST_SCORE, id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> DataFrame:
+    """Rows of ``docs`` whose language is told with at least the score ``least``, all columns as they are.
+
+    Without labelled rows there is no language to tell, and rows with letters stay.
+    """
+    model = fit_languages(docs, id, text, lang)
+    if not model.families:
+        return docs.filter(_has_letters(F.col(text).cast("string")))
+    names = ("_lang_pred", "_lang_score")
+    found = predict_languages(docs, model, text, names)
+    sure = (F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= least)
+    return found.filter(sure).select(*docs.columns)
 
 
 def identify_languages(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

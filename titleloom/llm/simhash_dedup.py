@@ -207,3 +207,16 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_representatives(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of ``docs`` for each component, with all columns: that of the smallest id.
+
+    Null ids are larger than others; of equal ids the row whose hash of id and text is smallest stays.
+    """
+    key = F.md5(F.concat(F.coalesce(F.col(id).cast("string"), F.lit("")), F.lit(":"), text_or_empty(text)))
+    name = F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), key.alias("key"))
+    named = near_duplicates(docs.select(name.alias("_name"), F.col(text).alias("_text")), "_name", "_text", **options)
+    kept = stored(named.filter(F.col("_name").eqNullSafe(F.col("component_id"))).select("_name.key").distinct(), "kept")
+    rows = docs.withColumn("_key", key)
+    return rows.join(kept, rows["_key"] == kept["key"], "left_semi").dropDuplicates(["_key"]).drop("_key")
