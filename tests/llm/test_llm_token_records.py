@@ -1,0 +1,78 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm_cases import no_documents, odd_documents, words
+
+from titleloom.llm.common import working_path
+from titleloom.llm.queries import tokenizer_path
+from titleloom.llm.token_records import WordEncoder, fetch, frames, read_records, shards, write_records
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def test_words_with_a_cache_are_whole_texts(tokenizer):
+    rng = random.Random(1)
+    encoder = WordEncoder(tokenizer_path(), cache_words=20)
+    pieces = [" ", "  ", "\n", " \n", "\t", "\x1c", " ", " ", "a", "It's", "don't", ".", "é", "\U0001f600", "12", "<|endoftext|>", "\r\n", "-"]
+    for _ in range(2000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(0, 14)))
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == want, repr(text)
+
+
+def test_odd_rows_in_order(spark, tokenizer):
+    docs = odd_documents(spark)
+    path = working_path(spark, "records")
+    write_records(docs.repartition(5), path, tokenizer_path())
+    found = read_records(spark, path).orderBy("start").collect()
+    rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
+    assert [r.doc_id for r in found] == [r.doc_id for r in rows]
+    want = sorted((repr(r.doc_id), tokenizer.encode(r.text or "", add_special_tokens=False).ids + [2]) for r in rows)
+    assert sorted((repr(r.doc_id), r.ids) for r in found) == want
+    start = 0
+    for row in found:
+        assert (row.start, row.n_tokens) == (start, len(row.ids))
+        assert row.ids_crc32 == zlib.crc32(np.array(row.ids, "<u4").tobytes())
+        start += row.n_tokens
+
+
+def test_records_by_number(spark, tokenizer):
+    rng = random.Random(2)
+    docs = spark.createDataFrame([(i, words(rng, 1 + i % 9)) for i in range(60)], "doc_id bigint, text string")
+    path = working_path(spark, "records")
+    write_records(docs, path, tokenizer_path())
+    whole = {r.doc_id: r.ids for r in read_records(spark, path).collect()}
+    for shard in shards(spark, path).collect():
+        numbers = list(range(shard.records))
+        rng.shuffle(numbers)
+        for key, ids in fetch(path, shard.file, shard["index"], numbers):
+            assert ids.tolist() == whole[key]
+
+
+def test_damage_is_seen(spark):
+    import io
+
+    from titleloom.llm import token_records as records
+
+    payload = records._id_bytes(7) + b"\x02" + b"\x01\x00"
+    head = records._HEAD.pack(len(payload))
+    data = head + records._CHECK.pack(records.masked(head)) + payload + records._CHECK.pack(records.masked(payload))
+    assert records.parse(next(frames(io.BytesIO(data))))[0] == 7
+    for at in (0, 9, 14, len(data) - 1):
+        bad = bytearray(data)
+        bad[at] ^= 1
+        with pytest.raises(ValueError):
+            list(frames(io.BytesIO(bytes(bad))))
+
+
+def test_empty(spark):
+    path = working_path(spark, "records")
+    write_records(no_documents(spark), path, tokenizer_path())
+    assert read_records(spark, path).count() == 0
