@@ -40,7 +40,7 @@ _CONTROL = r"\||/?s>|/?INST\]"
 _ESCAPE = re.compile(rf"([<\[])(\\*)(?={_CONTROL})")
 _UNESCAPE = re.compile(rf"([<\[])\\(\\*)(?={_CONTROL})")
 _RENDERED = re.compile(rf"{re.escape(TURN)}(.*?){re.escape(TEXT)}(.*?){re.escape(END)}", re.DOTALL)
-_FLUSH_CHARS = 1 << 21
+_FLUSH_CHARS = 1 << 18
 
 FORMATTED = (
     "conv_id bigint, formatted string, input_ids array<int>, token_starts array<int>, token_ends array<int>, "
@@ -83,15 +83,14 @@ def loss_mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]
     return (at >= 0) & (ends <= stop[at]) & (ends > starts)
 
 
-def masked_text(formatted: str, starts: list[int], ends: list[int], mask: list[bool]) -> str:
+def masked_text(formatted: str, starts: np.ndarray, ends: np.ndarray, mask: np.ndarray) -> str:
     """Text under the mask. Tokens that follow each other are put together before it is unescaped."""
-    runs: list[list[int]] = []
-    for start, end, on in zip(starts, ends, mask, strict=True):
-        if on and runs and start <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], end)
-        elif on:
-            runs.append([start, end])
-    return "".join(unescape(formatted[start:end]) for start, end in runs)
+    starts, ends = starts[mask], np.maximum.accumulate(ends[mask])
+    if not len(starts):
+        return ""
+    first = np.flatnonzero(np.r_[True, starts[1:] > ends[:-1]])
+    last = np.r_[first[1:], len(starts)] - 1
+    return "".join(unescape(formatted[a:b]) for a, b in zip(starts[first].tolist(), ends[last].tolist(), strict=True))
 
 
 _tokenizers: dict[str, object] = {}
@@ -179,11 +178,15 @@ def digest_formatted(formatted: DataFrame) -> DataFrame:
     def digest(batches):
         for batch in batches:
             rows = []
-            for row in batch.to_pylist():
-                turns = parse_turns(row["formatted"])
-                loss = masked_text(row["formatted"], row["token_starts"], row["token_ends"], row["loss_mask"])
+            for i, conv in enumerate(batch.column("conv_id").to_pylist()):
+                formatted = batch.column("formatted")[i].as_py()
+                tokens = [
+                    batch.column(name)[i].values.to_numpy(zero_copy_only=False)
+                    for name in ("token_starts", "token_ends", "loss_mask")
+                ]
+                turns, loss = parse_turns(formatted), masked_text(formatted, *tokens)
                 whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-                rows.append((row["conv_id"], len(turns), _sha(whole), len(loss), _sha(loss), len(row["formatted"])))
+                rows.append((conv, len(turns), _sha(whole), len(loss), _sha(loss), len(formatted)))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 6
             kinds = [pa.string() if " string" in x else pa.int64() for x in DIGESTS.split(", ")]
             names = [x.split()[0] for x in DIGESTS.split(", ")]
