@@ -298,8 +298,8 @@ def search_documents(spark, folder):
 def search_saved_index(spark, folder):
     """The same search through an index that was written and read back."""
     path = working_path(spark, "index")
-    tl.build_index(_as_titles(_documents(spark, folder))).save(path)
-    hits = tl.search(tl.Index.load(spark, path), _passage_queries(spark, folder))
+    index = tl.write_index(_as_titles(_documents(spark, folder)), path)
+    hits = tl.search(index, _passage_queries(spark, folder))
     return hits.select("qid", "id", "similarity")
 
 
@@ -426,14 +426,14 @@ def titles_from_containers(spark, folder):
         F.concat(F.lit("id,title,url\n"), row, F.lit("\n")).alias("text"),
     )
     content = tl.compress_alone(texts).select("path", F.col("blob").alias("content"))
-    return container_titles(content).select("id", "url", "title")
+    return container_titles(content).select(F.col("id").cast("bigint").alias("id"), "url", "title")
 
 
 @query
 def titles_from_csv(spark, folder):
     path = working_path(spark, "csv")
     _titles(spark, folder).select("id", "title", "url").write.csv(path, header=True, escape='"')
-    return read_titles_csv(spark, path).select("id", "url", "title")
+    return read_titles_csv(spark, path).select(F.col("id").cast("bigint").alias("id"), "url", "title")
 
 
 @query

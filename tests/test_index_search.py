@@ -56,18 +56,23 @@ def test_more_candidates_than_the_group_limit(spark):
     assert tl.search(index, ask(spark, "same title"), k=1200).count() == 1200
 
 
+def slots_of(sig):
+    """Slots of a packed signature."""
+    return np.frombuffer(sig, ">u4").astype(np.int64)
+
+
 def made_index(spark, signatures):
     trees = lambda s: [np.array(t).astype(">u4").tobytes() for t in np.split(np.array(s), TREES)]
-    rows = [(str(i), i, f"t{i}", f"u{i}", [int(v) for v in s], trees(s)) for i, s in enumerate(signatures)]
+    rows = [(str(i), i, f"t{i}", f"u{i}", b"".join(trees(s)), trees(s)) for i, s in enumerate(signatures)]
     docs = spark.createDataFrame(
-        rows, "id string, pos bigint, title string, url string, sig array<bigint>, trees array<binary>"
+        rows, "id string, pos bigint, title string, url string, sig binary, trees array<binary>"
     )
     return Index(docs.drop("trees"), forest_keys(docs, "pos", "id"))
 
 
 def test_two_equal_slots_are_needed(spark):
     query = "uno dos tres"
-    sig = tl.build_index(titles(spark, [query])).docs.first().sig
+    sig = slots_of(tl.build_index(titles(spark, [query])).docs.first().sig).tolist()
     other = [(v + 1) % MAX_HASH for v in sig]
     one, two, no_key = list(other), list(other), list(other)
     one[0] = sig[0]
@@ -98,7 +103,7 @@ def test_candidates_equal_a_forest_walk(spark, k):
     # Three values per slot: long shared prefixes, many ties, and hot first slots.
     draw = np.random.RandomState(k)
     query = "palabra de busca"
-    sig = np.array(tl.build_index(titles(spark, [query])).docs.first().sig)
+    sig = slots_of(tl.build_index(titles(spark, [query])).docs.first().sig)
     documents = []
     for _ in range(150):
         keep = draw.rand(128) < draw.choice([0.2, 0.6, 0.95])
@@ -120,7 +125,7 @@ def test_hot_bucket_and_repeated_queries(spark):
     hot = [i for i, v in enumerate(values) if v == "hot title of all"][:100]
     for qid in range(30):
         assert sorted(int(i) for i in got[got.qid == qid].id) == hot
-    sigs = {int(r.id): np.array(r.sig) for r in index.docs.select("id", "sig").collect()}
+    sigs = {int(r.id): slots_of(r.sig) for r in index.docs.select("id", "sig").collect()}
     documents = [sigs[i] for i in range(len(values))]
     for qid in (30, 41, 57):
         met = forest_order(documents[qid - 30], documents, 100)
@@ -134,8 +139,45 @@ def test_large_query_batches_take_joins_without_broadcast(spark, monkeypatch):
     values = [f"title number {i % 17} of {i % 5}" for i in range(60)]
     index = tl.build_index(titles(spark, values))
     small = set(tl.search(index, ask(spark, *values)).collect())
+    proposed = set(tl.forest_candidates(index, ask(spark, *values), 7).collect())
     monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
     assert set(tl.search(index, ask(spark, *values)).collect()) == small
+    assert set(tl.forest_candidates(index, ask(spark, *values), 7).collect()) == proposed
+
+
+def test_large_query_batches_keep_documents_trimmed(spark, monkeypatch):
+    """Documents that share one slot of a tree with a query are met once, however many queries there are."""
+    from titleloom.operators import search as module
+
+    query = "asked for"
+    sig = slots_of(tl.build_index(titles(spark, [query])).docs.first().sig)
+    first = np.arange(128) % DEPTH == 0
+    index = made_index(spark, [np.where(first, sig, (sig + 1 + i) % MAX_HASH) for i in range(200)])
+    listed = []
+    top = module.top_k
+    monkeypatch.setattr(module, "top_k", lambda df, keys, *a, **b: listed.append((keys, df)) or top(df, keys, *a, **b))
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
+    tl.forest_candidates(index, ask(spark, query, *[f"asked {i}" for i in range(200)])).count()
+    members = next(df for keys, df in listed if keys == module.NODE)
+    keys = members.select("id", "tree").distinct().count()
+    assert keys > 500 and members.count() <= 4 * keys
+
+
+def test_nothing_stays_cached(spark):
+    cached = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = cached()
+    hits = tl.search(tl.build_index(titles(spark, ["a b", "a c"])), ask(spark, "a b", "c"))
+    assert hits.count() > 0 and cached() == before
+
+
+def test_written_index_is_the_saved_one(spark, tmp_path):
+    rows = titles(spark, [f"uno dos {i % 9}" for i in range(50)])
+    tl.build_index(rows).save(str(tmp_path / "saved"))
+    written = tl.write_index(rows, str(tmp_path / "written"))
+    saved = Index.load(spark, str(tmp_path / "saved"))
+    for name in ("docs", "keys"):
+        ours, theirs = getattr(written, name), getattr(saved, name)
+        assert sorted(map(str, ours.select(theirs.columns).collect())) == sorted(map(str, theirs.collect()))
 
 
 def test_ids_of_any_kind(spark):
@@ -184,7 +226,7 @@ def test_recall_against_all_pairs(spark, small_tables):
     rows = pages.select(F.col("page_id").alias("id"), F.col("page_id").alias("pos"), "url", "title")
     index = tl.build_index(rows)
     got = tl.search(index, rows.select(F.col("id").alias("qid"), F.col("title").alias("query"))).toPandas()
-    sigs = {r.id: np.array(r.sig) for r in index.docs.select("id", "sig").collect()}
+    sigs = {r.id: slots_of(r.sig) for r in index.docs.select("id", "sig").collect()}
     wanted = {(int(q), d) for q in sigs for d in sigs if (sigs[q] == sigs[d]).mean() >= 0.5}
     found = set(zip(got.qid, got.id))
     assert len(wanted & found) >= 0.9 * len(wanted)

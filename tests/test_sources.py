@@ -18,12 +18,12 @@ CSV = (
     "4,,http://a.com/5\n"
 )
 WANTED = [
-    (1, "Uno dos", "http://a.com/1"),
-    (1, 'Tres, "cuatro"\nlinea', None),
-    (1, "   ", "http://a.com/2"),
-    (2, "None", "http://a.com/3"),
-    (3, "none", "http://a.com/4"),
-    (4, None, "http://a.com/5"),
+    ("1", "Uno dos", "http://a.com/1"),
+    ("1", 'Tres, "cuatro"\nlinea', None),
+    ("1", "   ", "http://a.com/2"),
+    ("2", "None", "http://a.com/3"),
+    ("3", "none", "http://a.com/4"),
+    ("4", None, "http://a.com/5"),
 ]
 
 
@@ -41,6 +41,32 @@ def test_csv(spark, tmp_path):
     assert list(kept["id"]) == [1, 1, 1, 3]
 
 
+def test_ids_of_any_kind(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,title,url\nx-1,Uno dos,u\n007,\"a \"\"b\"\"\",u\n")
+    for multi_line in (True, False):
+        rows = tables.read_titles_csv(spark, str(tmp_path / "t.csv"), multi_line).collect()
+        assert [(r.id, r.title) for r in rows] == [("x-1", "Uno dos"), ("007", 'a "b"')]
+
+
+def test_large_csv_is_read_in_splits(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,title,url\n" + "".join(f"{i},title {i},u\n" for i in range(50_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = tables.read_titles_csv(spark, str(tmp_path / "t.csv"), multi_line=False)
+        assert rows.rdd.getNumPartitions() > 4 and rows.count() == 50_000
+        ids = [r.id for r in rows.orderBy("pos").select("id").collect()]
+        assert ids == [str(i) for i in range(50_000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_container_without_a_column(spark, tmp_path):
+    text = "id,title\n5,Uno\n"
+    (tmp_path / "t.bin").write_bytes(huffman.container_of(text, huffman.code_table(Counter(text))))
+    row = containers.read_titles_container(spark, str(tmp_path)).first()
+    assert (row.id, row.title, row.url) == ("5", "Uno", None)
+
+
 def test_csv_container(spark, tmp_path):
     (tmp_path / "t.bin").write_bytes(huffman.container_of(CSV, huffman.code_table(Counter(CSV))))
     check(containers.read_titles_container(spark, str(tmp_path)))

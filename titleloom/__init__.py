@@ -14,7 +14,7 @@ from titleloom.operators.codec import (
     huffman_codes,
 )
 from titleloom.operators.frontier import frontier_step, seed_domains, start_frontier
-from titleloom.operators.index import Index, build_index
+from titleloom.operators.index import Index, build_index, write_index
 from titleloom.operators.pages import accepted_pages, extract_links, extract_titles
 from titleloom.operators.paging import page_counts, paginate
 from titleloom.operators.robots import robots_filter
@@ -47,4 +47,5 @@ __all__ = [
     "search",
     "seed_domains",
     "start_frontier",
+    "write_index",
 ]

@@ -9,14 +9,19 @@ from __future__ import annotations
 import json
 import struct
 from collections import Counter, deque
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SLICE = 1 << 16
-_MEMO_LIMIT = 1 << 20
+_MEMO_LIMIT = 1 << 16
+_COUNT_SLICE = 1 << 20
+_COUNTS_HELD = 1 << 18
 
 
 def code_table(freqs: dict[str, int]) -> dict[str, str]:
@@ -85,7 +90,7 @@ class _Decoder(dict):
         return found
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=16)
 def _decoder(header: bytes) -> _Decoder:
     return _Decoder(json.loads(header.decode("utf-8")))
 
@@ -133,6 +138,25 @@ def unpack(packed: bytes, header: str) -> str:
     return "".join(_pieces(_decoder(header.encode("utf-8")), memoryview(packed)))
 
 
+def shared_coder(tables, header: bool | None):
+    """Column function of ``(text or bytes, scope)`` under a broadcast of JSON code tables by scope.
+
+    ``header`` asks for whole containers or for code bits only; None decodes code bits.
+    """
+    work = {None: lambda b, c: unpack(bytes(b), c), True: lambda t, c: container_of(t, _codes(c)),
+            False: lambda t, c: pack(t, _codes(c))}[header]
+
+    @F.pandas_udf(T.StringType() if header is None else T.BinaryType())
+    def run(values: pd.Series, scopes: pd.Series) -> pd.Series:
+        known = tables.value
+        found = [
+            work(v, known[s]) if v is not None and len(v) and s in known else None for v, s in zip(values, scopes)
+        ]
+        return pd.Series(found, dtype=object)
+
+    return run
+
+
 @F.pandas_udf(T.BinaryType())
 def encode_with(text: pd.Series, table: pd.Series) -> pd.Series:
     """Containers of texts under given JSON code tables; NULL for empty text."""
@@ -171,6 +195,48 @@ def decode(blob: pd.Series) -> pd.Series:
     return pd.Series([None if b is None else text_of(bytes(b)) for b in blob], dtype=object)
 
 
+def _count_into(counts: dict, scope: str | None, texts: list[str]) -> None:
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    if not len(points):
+        return
+    found = np.bincount(points)
+    own = counts.setdefault(scope, {})
+    for point in np.flatnonzero(found).tolist():
+        own[point] = own.get(point, 0) + int(found[point])
+
+
+def count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(scope, ch, n)`` of ``(scope, text)`` rows; texts are taken in slices, counts are held for a task."""
+    counts: dict[str | None, dict[int, int]] = {}
+    for batch in batches:
+        waiting: dict[str | None, list[str]] = {}
+        sizes: Counter = Counter()
+        for scope, cell in zip(batch.column("scope").to_pylist(), batch.column("text")):
+            text = cell.as_py() or ""
+            for start in range(0, len(text), _COUNT_SLICE):
+                piece = text[start:start + _COUNT_SLICE]
+                waiting.setdefault(scope, []).append(piece)
+                sizes[scope] += len(piece)
+                if sizes[scope] >= _COUNT_SLICE:
+                    _count_into(counts, scope, waiting.pop(scope))
+                    sizes[scope] = 0
+        for scope, texts in waiting.items():
+            _count_into(counts, scope, texts)
+        if sum(map(len, counts.values())) > _COUNTS_HELD:
+            yield _counted(counts)
+            counts = {}
+    yield _counted(counts)
+
+
+def _counted(counts: dict) -> pa.RecordBatch:
+    rows = [(scope, chr(point), n) for scope, own in counts.items() for point, n in own.items()]
+    scopes, chars, numbers = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(scopes, pa.string()), pa.array(chars, pa.string()), pa.array(numbers, pa.int64())],
+        names=["scope", "ch", "n"],
+    )
+
+
 def codes_of_scope(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Codes of one scope. Its rows are distinct characters, so Unicode bounds the group."""
     table = code_table(dict(zip(rows["ch"], rows["freq"])))

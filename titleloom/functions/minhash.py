@@ -129,6 +129,28 @@ def prefix(slots: Column, depth: Column) -> Column:
     return F.substring(slots, F.lit(1), depth * SLOT_BYTES)
 
 
+def packed_signature(trees: Column) -> Column:
+    """All 128 slots as 512 bytes."""
+    return F.concat(*[F.element_at(trees, i + 1) for i in range(TREES)])
+
+
+def trees_of(packed: Column) -> Column:
+    """The trees of a packed signature."""
+    size = DEPTH * SLOT_BYTES
+    return F.array(*[F.substring(packed, i * size + 1, size) for i in range(TREES)])
+
+
+@F.arrow_udf(T.DoubleType())
+def _packed_estimate(left: pa.Array, right: pa.Array) -> pa.Array:
+    slots = lambda side: np.frombuffer(b"".join(side.to_pylist()), "<u4").reshape(-1, NUM_PERM)
+    return pa.array((slots(left) == slots(right)).mean(axis=1, dtype=np.float64))
+
+
+def packed_estimate(left: Column, right: Column) -> Column:
+    """Share of equal slots of two packed signatures, neither of them NULL."""
+    return _packed_estimate(left, right)
+
+
 def equal_slots(left: Column, right: Column) -> Column:
     return F.size(F.filter(F.zip_with(left, right, lambda x, y: x == y), lambda same: same))
 

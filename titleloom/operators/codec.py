@@ -15,12 +15,11 @@ def _scope(scope: str | None) -> Column:
 
 
 def char_frequencies(docs: DataFrame, scope: str | None = None, text: str = "text") -> DataFrame:
-    """``(scope, ch, freq)`` by code point; counts are combined before the shuffle."""
-    chars = docs.select(
-        _scope(scope).alias("scope"),
-        F.explode(F.split(unix_newlines(F.col(text)), "")).alias("ch"),
-    )
-    return chars.filter(F.col("ch") != "").groupBy("scope", "ch").agg(F.count("*").alias("freq"))
+    """``(scope, ch, freq)`` by code point. Texts are counted where they are read, in pieces of a bounded
+    size; a row leaves a task for each scope and character in it."""
+    rows = docs.select(_scope(scope).alias("scope"), unix_newlines(F.col(text)).alias("text"))
+    counted = rows.mapInArrow(huffman.count_characters, "scope string, ch string, n bigint")
+    return counted.groupBy("scope", "ch").agg(F.sum("n").alias("freq"))
 
 
 def huffman_codes(freqs: DataFrame) -> DataFrame:
@@ -87,18 +86,23 @@ def compression_report(
     return report.withColumn("saving_pct", F.when(F.col("original_bytes") > 0, saving))
 
 
-def _with_table(
-    docs: DataFrame, codes: DataFrame, scope: str | None, spread: Column
+def _coded(
+    docs: DataFrame, codes: DataFrame, scope: str | None, source: Column, name: str, header: bool | None
 ) -> DataFrame:
-    """Add the code table of each row's scope as ``_table``.
+    """Add ``source`` coded (``header`` given) or decoded (None) under the code of each row's scope.
 
-    ``codes`` should be a stored table: its size is measured to decide on a broadcast. Rows are
-    shuffled only when the tables are too large for one, and then by a salted key.
+    ``codes`` should be a stored table: its size is measured. Small tables go to the workers once, as a
+    broadcast, and rows carry text and scope only. Beyond that a table is joined to rows by a salted key.
     """
-    tables = code_tables(codes).select(F.col("scope").alias("_scope"), F.col("table").alias("_table"))
-    small = fits(codes, F.octet_length("ch") + F.col("code_len") + 16)
-    keyed = docs.withColumn("_scope", _scope(scope))
-    return lookup_join(keyed, tables, "_scope", spread, small).drop("_scope")
+    tables = code_tables(codes)
+    if fits(codes, F.octet_length("ch") + F.col("code_len") + 16):
+        known = {row["scope"]: row["table"] for row in tables.collect()}
+        coder = huffman.shared_coder(docs.sparkSession.sparkContext.broadcast(known), header)
+        return docs.withColumn(name, coder(source, _scope(scope)))
+    named = tables.select(F.col("scope").alias("_scope"), F.col("table").alias("_table"))
+    joined = lookup_join(docs.withColumn("_scope", _scope(scope)), named, "_scope", source, False)
+    coder = {None: huffman.unpack_with, True: huffman.encode_with, False: huffman.pack_with}[header]
+    return joined.withColumn(name, coder(source, F.col("_table"))).drop("_scope", "_table")
 
 
 def compress_column(
@@ -114,9 +118,7 @@ def compress_column(
     With ``header`` every value is a container of its own. Without it the code table stays in
     ``codes`` and values hold code bits only, which suits many short texts.
     """
-    joined = _with_table(docs, codes, scope, F.col(text))
-    coder = huffman.encode_with if header else huffman.pack_with
-    return joined.withColumn(name, coder(unix_newlines(F.col(text)), F.col("_table"))).drop("_table")
+    return _coded(docs, codes, scope, unix_newlines(F.col(text)), name, header)
 
 
 def compress_alone(docs: DataFrame, text: str = "text", name: str = "blob") -> DataFrame:
@@ -134,5 +136,4 @@ def decompress_column(
     """Add the text of a container column, or of a column without headers when given ``codes``."""
     if codes is None:
         return docs.withColumn(name, huffman.decode(F.col(blob)))
-    joined = _with_table(docs, codes, scope, F.col(blob))
-    return joined.withColumn(name, huffman.unpack_with(F.col(blob), F.col("_table"))).drop("_table")
+    return _coded(docs, codes, scope, F.col(blob), name, None)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleloom.functions.minhash import first_slot, signed, token_hashes
+from titleloom.functions.minhash import first_slot, packed_signature, signed, token_hashes, trees_of
 from titleloom.functions.text import has_title, has_tokens, tokens
+from titleloom.plans.durable import stored
 
 
 def last_documents(docs: DataFrame, order: str = "pos") -> DataFrame:
@@ -42,7 +42,7 @@ def forest_keys(rows: DataFrame, *keep: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """``docs(id, pos, title, url, sig)`` and ``keys(tree, k0, slots, pos, id)``."""
+    """``docs(id, pos, title, url, sig)`` and ``keys(tree, k0, slots, pos, id)``; ``sig`` has the slots as bytes."""
 
     docs: DataFrame
     keys: DataFrame
@@ -65,13 +65,30 @@ class Index:
         return self.docs.agg(F.count("*").alias("documents"))
 
 
+def _signed_documents(docs: DataFrame, order: str) -> DataFrame:
+    rows = with_signature(last_documents(docs, order), tokens(F.col("title")))
+    return rows.select("id", "pos", "title", "url", packed_signature(F.col("trees")).alias("sig"))
+
+
+def _index_of(rows: DataFrame) -> Index:
+    """Keys are cut from the signatures that a stored table holds."""
+    return Index(rows, forest_keys(rows.withColumn("trees", trees_of(F.col("sig"))), "pos", "id"))
+
+
 def build_index(docs: DataFrame, order: str = "pos") -> Index:
     """Index ``docs(id, title, url)``; ``order`` is the column that gives the row order.
 
-    The signed documents are computed now and cached, as a search reads them at the same time for
-    keys and for scores. For an index that outgrows the cache, ``save`` it and ``load`` it.
+    Signed documents become a working table, from which a search reads keys and scores. For an index
+    that is used again, take ``write_index``.
     """
-    rows = with_signature(last_documents(docs, order), tokens(F.col("title")))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    rows.count()
-    return Index(rows.drop("trees"), forest_keys(rows, "pos", "id"))
+    return _index_of(stored(_signed_documents(docs, order), "index"))
+
+
+def write_index(docs: DataFrame, path: str, order: str = "pos") -> Index:
+    """Index ``docs`` under ``path``, as ``save`` does, without a cache or a second signing."""
+    rows = _signed_documents(docs, order)
+    rows.repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(f"{path}/docs")
+    keys = _index_of(docs.sparkSession.read.parquet(f"{path}/docs")).keys
+    order = ["tree", "k0", "id"]
+    keys.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/keys")
+    return Index.load(docs.sparkSession, path)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleloom.functions.minhash import DEPTH, TREES, jaccard_estimate, prefix
+from titleloom.functions.minhash import DEPTH, TREES, packed_estimate, packed_signature, prefix
 from titleloom.functions.text import tokens
 from titleloom.operators.index import Index, forest_keys, with_signature
+from titleloom.plans.durable import stored
 from titleloom.plans.ranking import top_k
 from titleloom.plans.sizing import BROADCAST_BYTES, fits
 
@@ -50,7 +50,9 @@ def _is_small(rows: int, row_bytes: int) -> bool:
 
 
 def _small(table: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    return F.broadcast(table) if _is_small(rows, row_bytes) else table
+    """A side of a bounded size for a broadcast; beyond that stored, so that both sides of a join are
+    plain and adaptive execution splits hot keys."""
+    return F.broadcast(table) if _is_small(rows, row_bytes) else stored(table, "side")
 
 
 def query_sets(queries: DataFrame) -> DataFrame:
@@ -73,18 +75,29 @@ def _reaching(met: DataFrame, query_keys: DataFrame, sets: int) -> DataFrame:
 
     Prefixes of two and of four slots are looked up in turn; most documents fail the first.
     """
-    if not _is_small(sets, TREES * _PREFIX_BYTES):
-        return met.withColumn("reach", F.lit(DEPTH))
     for depth in (2, 4):
         at, known = f"at{depth}", f"known{depth}"
         asked = query_keys.select("tree", prefix(F.col("slots"), F.lit(depth)).alias(at)).distinct()
+        asked = asked.withColumn(known, F.lit(True))
         met = met.withColumn(at, prefix(F.col("slots"), F.lit(depth))).join(
-            F.broadcast(asked.withColumn(known, F.lit(True))), ["tree", at], "left"
+            _small(asked, sets * TREES, _PREFIX_BYTES), ["tree", at], "left"
         )
     reach = F.when(F.col("known4"), DEPTH).when(F.col("known2"), 3).otherwise(1)
     return met.withColumn("reach", reach).drop("at2", "known2", "at4", "known4")
 
 
+def _deep_nodes(query_nodes: DataFrame, lists: DataFrame, sets: int, k: int) -> DataFrame:
+    """Nodes of queries without those that the walk never comes to.
+
+    A node with ``k`` documents fills the list of every query at it, so no query goes on to shallower
+    nodes, in whatever tree.
+    """
+    full = lists.groupBy(*NODE).count().filter(F.col("count") >= k).drop("count")
+    ends = query_nodes.join(full, NODE, "left_semi").groupBy("qset").agg(F.max("depth").alias("end"))
+    ended = query_nodes.join(_small(ends, sets, _PREFIX_BYTES), "qset", "left")
+    return ended.filter(F.col("depth") >= F.coalesce("end", F.lit(0))).drop("end")
+
+
 def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame:
     """First ``k`` documents per query set in the order in which the forest meets them.
 
@@ -93,7 +106,8 @@ def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame
     ``k`` others at every query of that node, so nodes are cut to ``k`` before queries meet
     documents, and no bucket of documents is ever paired with its queries. A first cut, by the
     prefix that a document can share at most, trims hot buckets and copies on the map side,
-    before a row is repeated per depth.
+    before a row is repeated per depth. Lists are stored before they are joined, and so are sides that are
+    too large for a broadcast: a hot bucket, or a node that many queries ask for, is then split.
     """
     query_keys = forest_keys(signed, "qset")
     query_nodes = _nodes(query_keys, F.lit(DEPTH), "qset").drop("slots")
@@ -106,11 +120,14 @@ def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame
         "shared", prefix(F.col("slots"), F.col("reach"))
     )
     members = _nodes(top_k(shared, ["tree", "shared"], place, k), F.col("reach"), "pos", "id")
-    lists = top_k(members, NODE, place, k)
+    lists = stored(top_k(members, NODE, place, k), "lists")
+    deep = _deep_nodes(query_nodes, lists, sets, k)
+    if not _is_small(sets, TREES * DEPTH * _PREFIX_BYTES):
+        deep = stored(deep, "query-nodes")
     order = F.struct((-F.col("depth")).alias("up"), "tree", "slots", "pos")
-    # One exchange by query set serves both the merge over trees and the rank.
+    # Combined before the exchange by query set, which serves the merge over trees and the rank.
     merged = (
-        query_nodes.join(lists, NODE)
+        deep.join(lists, NODE)
         .select("qset", "id", order.alias("place"))
         .repartition("qset")
         .groupBy("qset", "id")
@@ -121,17 +138,20 @@ def _candidates(index: Index, signed: DataFrame, sets: int, k: int) -> DataFrame
 
 
 def _signed_sets(queries: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    asked = query_sets(queries)
+    """``(qid, qset)`` of all queries, and ``(qset, sig, trees)`` of the different ones, as stored tables."""
+    asked = stored(query_sets(queries), "query-sets")
     distinct = asked.dropDuplicates(["qset"])
-    signed = with_signature(distinct, F.col("words")).drop("qid", "words")
-    signed = signed.persist(StorageLevel.MEMORY_AND_DISK)
+    signed = stored(with_signature(distinct, F.col("words")).drop("qid", "words"), "signed-sets")
     return asked.select("qid", "qset"), signed, signed.count()
 
 
 def forest_candidates(index: Index, queries: DataFrame, k: int = CANDIDATES) -> DataFrame:
     """``(qid, id, depth, rank)``: the documents that the forest proposes for each query."""
     asked, signed, sets = _signed_sets(queries)
-    return asked.join(_candidates(index, signed, sets, k), "qset").drop("qset")
+    proposed = _candidates(index, signed, sets, k)
+    if not _is_small(sets * k, _PREFIX_BYTES):
+        proposed = stored(proposed, "proposed")  # a question that many ask is then split
+    return asked.join(proposed, "qset").drop("qset")
 
 
 def search(
@@ -145,26 +165,27 @@ def search(
 
     Equal queries are answered once and fanned out at the end. With ``ordered``, the hits of a
     query stand together, best first; queries among themselves are in no order, which saves a
-    global sort with its sampling pass.
+    global sort with its sampling pass. What is used twice is a working table; nothing is cached.
     """
     asked, signed, sets = _signed_sets(queries)
-    proposed = _candidates(index, signed, sets, k).select("qset", "id")
-    # Ids have any length, so their size is measured; the cache keeps that from costing a second run.
-    proposed = proposed.persist(StorageLevel.MEMORY_AND_DISK)
+    proposed = stored(_candidates(index, signed, sets, k).select("qset", "id"), "proposed")
+    # Ids have any length, so their size is measured.
     small = fits(proposed, F.octet_length("id") + _PREFIX_BYTES, BROADCAST_BYTES)
     documents = _narrowed(index.docs, proposed.select("id"), sets * k)
     described = documents.select("id", "title", "url", "sig").join(
         F.broadcast(proposed) if small else proposed, "id"
     )
-    query_sigs = signed.select("qset", F.col("sig").alias("query_sig"))
+    query_sigs = signed.select("qset", packed_signature(F.col("trees")).alias("query_sig"))
     scored = described.join(_small(query_sigs, sets, _SIGNATURE_BYTES), "qset").select(
         "qset",
         "id",
         "title",
         "url",
-        jaccard_estimate(F.col("sig"), F.col("query_sig")).alias("similarity"),
+        packed_estimate(F.col("sig"), F.col("query_sig")).alias("similarity"),
     )
     kept = scored.filter(F.col("similarity") > min_sim)
+    if not (small and _is_small(sets, _SIGNATURE_BYTES)):
+        kept = stored(kept, "scored")  # a question that many ask is then split
     hits = asked.join(kept, "qset").select("qid", "id", "title", "url", "similarity")
     if not ordered:
         return hits

@@ -40,7 +40,7 @@ def _title_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows = csv.DictReader(_lines(huffman.decoded_pieces(bytes(content))))
             out = []
             for row, record in enumerate(rows):
-                out.append((path, row, record["id"], record["url"] or None, record["title"] or None))
+                out.append((path, row, record.get("id"), record.get("url") or None, record.get("title") or None))
                 if len(out) == _BATCH:
                     yield pd.DataFrame(out, columns=["path", "row", "id", "url", "title"])
                     out = []
@@ -50,13 +50,13 @@ def _title_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def container_titles(containers: DataFrame) -> DataFrame:
     """``(id, url, title, pos)`` from ``(path, content)`` rows that hold CSV text.
 
-    A container is decoded and parsed in pieces by one task; containers are spread over tasks.
+    Ids are strings as they stand; a column that the text lacks is NULL. A container is decoded and parsed in pieces by one task; containers are spread over tasks.
     """
     rows = containers.select("path", "content").mapInPandas(
         _title_rows, "path string, row bigint, id string, url string, title string"
     )
     place = F.struct(F.col("path").alias("file"), "row")
-    return rows.select(F.col("id").cast("bigint").alias("id"), "url", "title", place.alias("pos"))
+    return rows.select("id", "url", "title", place.alias("pos"))
 
 
 def read_titles_container(spark: SparkSession, path: str) -> DataFrame:

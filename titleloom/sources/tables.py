@@ -9,18 +9,19 @@ TITLE_COLUMNS = ["id", "url", "title"]
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 
 
-def read_titles_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_titles_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``(id, url, title, pos)`` from CSV files with a header, in any column order.
 
-    Values may hold line breaks and doubled quotes. ``pos`` orders rows as they stand in the files.
+    Ids are strings as they stand. ``pos`` orders rows as they stand in the files. Values may hold doubled
+    quotes, and line breaks with ``multi_line``; without it a large file is read in splits by many tasks.
     """
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', nullValue="")
+    raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', nullValue="", inferSchema=False)
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return raw.select(F.col("id").cast("bigint").alias("id"), "url", "title", place.alias("pos"))
+    return raw.select(F.col("id").cast("string").alias("id"), "url", "title", place.alias("pos"))
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
@@ -29,17 +30,8 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores for a table that is stored in fewer pieces than there are cores.
-
-    A large table has enough pieces and is left as it is; nothing is shuffled then.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def append_titles(titles: DataFrame, path: str) -> None:
