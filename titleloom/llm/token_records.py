@@ -47,6 +47,14 @@ _BLANK_AFTER_BLANK = re.compile(r"\s ")
 _CUTS = re.compile(r"(?<=\S)(?= )")
 _SHUFFLE_READ = 1 << 22
 
+# How byte-level vocabularies write bytes as characters. Printable bytes are themselves, the
+# others are the characters from U+0100 on, in the order of the bytes.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {byte: 0x100 + i for i, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BLANK = chr(_BYTE_LETTERS[0x20])
+#: Letters below this are letters for every version of Unicode.
+_PLAIN_LETTERS = "\u0250"
+
 
 def masked(data: bytes) -> int:
     """Checksum of the data, rotated and shifted by a constant."""
@@ -70,6 +78,7 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.limit = cache_words
+        self.marks = dict(zip(".,;:!?", self._ask(list(".,;:!?")), strict=True))
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -77,6 +86,29 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array(self.code, one.ids).tobytes() for one in found]
 
+    def _ask_after_blank(self, words: list[str]) -> list[bytes]:
+        """Ids of words with the blank before them.
+
+        Letters alone, and letters with one mark behind them, are what the tokenizer's own pattern takes
+        apart, so its model is asked for the letters without the pass that looks for the parts.
+        """
+        out: list[bytes | None] = []
+        ask = self.tokenizer.model.tokenize
+        for word in words:
+            letters, mark = (word[:-1], self.marks[word[-1]]) if word[-1:] in self.marks else (word, b"")
+            if letters.isalpha() and max(letters) < _PLAIN_LETTERS:
+                ids = self.young.get(letters) if mark else None
+                if ids is None:
+                    mapped = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                    ids = array(self.code, [one.id for one in ask(_BLANK + mapped)]).tobytes()
+                out.append(ids + mark)
+            else:
+                out.append(None)
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self._ask([" " + words[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of words that stand after a blank, which is not part of the keys."""
         got = list(map(self.young.get, words))
@@ -86,7 +118,7 @@ class WordEncoder:
                 self.young, self.old = {}, self.young
             known = {word: self.old.get(word) for word in {words[i] for i in unknown}}
             new = [word for word, ids in known.items() if ids is None]
-            known.update(zip(new, self._ask([" " + word for word in new]), strict=True))
+            known.update(zip(new, self._ask_after_blank(new), strict=True))
             self.young.update(known)
             for i in unknown:
                 got[i] = known[words[i]]
