@@ -13,20 +13,31 @@ from pyspark.sql import types as T
 
 from titleloom.functions.text import strip
 
-# Comments, scripts and style sheets hold no elements. One pass, so order in the page decides.
+# Comments, scripts and style sheets hold no elements; one that is not closed runs to the end. One pass, so
+# order in the page decides.
 _HIDDEN = (
-    r"(?is)<!--.*?-->|<script(?=[\s/>])[^>]*>.*?</script\s*>|<style(?=[\s/>])[^>]*>.*?</style\s*>"
+    r"(?is)<!--.*?(?:-->|\z)|<script(?=[\s/>])[^>]*>.*?(?:</script\s*>|\z)"
+    r"|<style(?=[\s/>])[^>]*>.*?(?:</style\s*>|\z)"
 )
 # The rest of an opening tag; a quoted value may hold ">".
 _REST = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
 _H1 = rf"(?is)<h1(?=[\s/>]){_REST}(.*?)(?:</h1\s*>|\z)"
 _TAG = rf"(?is)</?[a-z]{_REST}"
 _A_TAG = rf"(?is)<a(?=[\s/]){_REST}"
-_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)"""
-# Skips the attributes before href, so that "href=" inside another value is not taken.
-_HREF = (
-    r"(?is)\A<a(?:[\s/]+(?!href[\s=/>])[^\s=>/]+(?:\s*=\s*" + _VALUE + r")?)*+"
-    r"[\s/]+href(?=[\s=/>])(?:\s*=\s*(" + _VALUE + r"))?"
+# An element without elements in it. What close tags are left when two rounds of these are taken out of an H1
+# may belong to something around it.
+_LEAF = rf"(?is)<(?!h1[\s/>])([a-z][a-z0-9]*)(?=[\s/>]){_REST}[^<]*</\1\s*>"
+_CLOSE_OR_H1 = r"(?i)</[a-z]|<h1[\s/>]"
+_VALUE = r"""(?:"[^"]*"|'[^']*'|(?!["'])[^\s>]*)"""
+# An attribute starts after white space or a slash, or right behind a quoted value.
+_ATTRIBUTE = rf"""(?is)(?:[\s/]+|(?<=["']))[^\s=>/][^\s=>/]*(?:\s*=\s*{_VALUE})?"""
+_IS_HREF = r"""(?is)\A[\s/]*href\s*(?:=|\z)"""
+_HREF_VALUE = rf"""(?is)\A[\s/]*href\s*=\s*({_VALUE})"""
+
+# Fixed value: elements that never have a close tag.
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_PY_TAG = re.compile(
+    r"""<(/?)([a-z][^\s/>]*)[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""", re.IGNORECASE | re.DOTALL
 )
 
 
@@ -60,24 +71,79 @@ def visible_html(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "")
 
 
+def _first_h1(visible: str) -> str | None:
+    """Text of the first H1, which ends with its own close tag or with that of an element around it."""
+    around: list[str] = []
+    within: list[str] = []
+    begin = None
+    out = []
+    for tag in _PY_TAG.finditer(visible):
+        name, close = tag[2].lower(), bool(tag[1])
+        if begin is None:
+            if not close and name == "h1":
+                begin = tag.end()
+            elif close and name in around:
+                del around[len(around) - 1 - around[::-1].index(name):]
+            elif not close and name not in _VOID:
+                around.append(name)
+            continue
+        out.append(visible[begin:tag.start()])
+        begin = tag.end()
+        if not close:
+            if name not in _VOID:
+                within.append(name)
+        elif name in within:
+            del within[len(within) - 1 - within[::-1].index(name):]
+        elif name == "h1" or name in around:
+            return "".join(out)
+    return None if begin is None else "".join([*out, visible[begin:]])
+
+
+@F.pandas_udf(T.StringType())
+def _walked_h1(visible: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(v) else _first_h1(v) for v in visible], dtype=object)
+
+
+_walked_h1 = _walked_h1.asNondeterministic()
+
+
 def h1_source(visible: Column) -> Column:
-    """Text of the first H1 with tags removed, entities still encoded; NULL without an H1."""
+    """The first H1 as ``(text, page)``, NULL texts without an H1: its text with tags removed and entities still
+    encoded, and the page itself where the H1 holds close tags that may belong to an element around it."""
     found = F.try_element_at(F.regexp_extract_all(visible, F.lit(_H1), F.lit(1)), F.lit(1))
-    return F.regexp_replace(found, _TAG, "")
+    parts = F.transform(
+        F.array(found),
+        lambda h1: F.struct(
+            F.regexp_replace(h1, _TAG, "").alias("text"),
+            F.when(
+                F.regexp_replace(F.regexp_replace(h1, _LEAF, ""), _LEAF, "").rlike(_CLOSE_OR_H1), visible
+            ).alias("page"),
+        ),
+    )
+    return F.element_at(parts, 1)
 
 
 def h1_title(source: Column) -> Column:
-    """Final title from :func:`h1_source`."""
-    return strip(unescape_entities(source))
+    """Final title from :func:`h1_source`; only odd pages are walked, tag by tag in Python."""
+    walked = F.when(source["page"].isNotNull(), _walked_h1(source["page"])).otherwise(source["text"])
+    return strip(unescape_entities(walked))
 
 
 def hrefs(visible: Column) -> Column:
-    """``href`` values of all links in page order, entities still encoded."""
+    """``href`` values of all links in page order, entities still encoded; of several in a tag the last."""
     tags = F.regexp_extract_all(visible, F.lit(_A_TAG), F.lit(0))
-    linked = F.filter(tags, lambda tag: tag.rlike(_HREF))
+    named = F.transform(
+        tags,
+        lambda tag: F.try_element_at(
+            F.filter(
+                F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(0)), lambda one: one.rlike(_IS_HREF)
+            ),
+            F.lit(-1),
+        ),
+    )
     return F.transform(
-        linked,
-        lambda tag: F.regexp_replace(
-            F.regexp_extract(tag, _HREF, 1), r"""(?s)\A(["'])(.*)\1\z""", "$2"
+        F.filter(named, lambda one: one.isNotNull()),
+        lambda one: F.regexp_replace(
+            F.regexp_extract(one, _HREF_VALUE, 1), r"""(?s)\A(["'])(.*)\1\z""", "$2"
         ),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titleloom.functions.urls import netloc, normalize_url
+from titleloom.plans.durable import stored
 
 
 def seed_domains(seeds: DataFrame) -> DataFrame:
@@ -22,8 +23,8 @@ def start_frontier(seeds: DataFrame) -> DataFrame:
 def within_domains(links: DataFrame, domains: DataFrame, url: str = "dst") -> DataFrame:
     """Links whose host part is a seed domain.
 
-    No hint: Catalyst broadcasts the domains when their size allows, and adaptive execution
-    splits a host with many links when it does not.
+    No hint: Catalyst broadcasts the domains when their size allows. When it does not, adaptive execution
+    splits a host with many links, provided that ``domains`` is a stored table and not an aggregate.
     """
     hosted = links.withColumn("netloc", netloc(F.col(url)))
     return hosted.join(domains, "netloc", "left_semi").drop("netloc")
@@ -51,5 +52,6 @@ def frontier_step(
     """
     if "parent_pos" not in links.columns:
         links = links.withColumn("parent_pos", F.col("page_id"))
-    fresh = new_urls(within_domains(links, seed_domains(seeds)), visited)
+    domains = stored(seed_domains(seeds), "domains")
+    fresh = new_urls(within_domains(links, domains), visited)
     return fresh, visited.select("url").unionByName(fresh.select("url"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titleloom.functions.urls import origin
+from titleloom.plans.durable import stored
 
 # Fixed value: the default agent name that rules are looked up for.
 AGENT = "MySimpleCrawler/1.0"
@@ -39,7 +40,7 @@ def robots_rules(robots: DataFrame, agent: str = AGENT) -> DataFrame:
     """``(origin, rules)``; a status without rules becomes one rule for every path.
 
     401 and 403 deny all, other 4xx allow all, 5xx deny all, and an unreadable file (NULL status)
-    allows all.
+    allows all. Of several answers of an origin the one with the lowest status and text counts, NULL first.
     """
     status = F.col("status")
     everything = lambda allow: F.array(
@@ -51,7 +52,8 @@ def robots_rules(robots: DataFrame, agent: str = AGENT) -> DataFrame:
         .when(status >= 400, everything(True))
         .otherwise(parsed_rules(F.when(status < 400, F.col("robots_txt")), agent))
     )
-    return robots.select("origin", rules.alias("rules"))
+    answers = robots.groupBy("origin").agg(F.min(F.struct("status", "robots_txt")).alias("answer"))
+    return answers.select("origin", "answer.*").select("origin", rules.alias("rules"))
 
 
 def robots_path(url: Column) -> Column:
@@ -67,10 +69,10 @@ def robots_path(url: Column) -> Column:
 def robots_filter(urls: DataFrame, robots: DataFrame, agent: str = AGENT) -> DataFrame:
     """URLs that ``agent`` may fetch. The first rule whose path is a prefix decides.
 
-    The join has no hint, so the rules are broadcast only when Catalyst knows them to be small;
-    else adaptive execution splits an origin with many URLs.
+    Rules are stored first. The join has no hint, so they are broadcast only when Catalyst knows them to be
+    small; else adaptive execution splits an origin with many URLs.
     """
-    rules = robots_rules(robots, agent)
+    rules = stored(robots_rules(robots, agent), "rules")
     joined = urls.withColumn("origin", origin(F.col("url"))).join(rules, "origin", "left")
     path = robots_path(F.col("url"))
     match = F.try_element_at(
