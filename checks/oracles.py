@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from titleloom.functions.minhash import MAX_HASH, PRIME, permutations
-from titleloom.functions.text import NA_TITLES
 
 _NORM = "regexp_replace(regexp_replace({0}, '#.*$', ''), '/$', '')"
 _NETLOC = "regexp_extract({0}, '^[a-z]+://([^/?#]*)', 1)"
@@ -14,6 +13,11 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+# Title texts that count as missing. A copy of its own, so that a change of the library shows.
+NA_TITLES = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 _NA = ", ".join(_text(value) for value in NA_TITLES)
 
 _VISIBLE = r"""visible AS (
@@ -60,6 +64,25 @@ _IS_SEED = f"ends_with({_NETLOC.format('url')}, '.org')"
 _SEEDS = f"seeds AS (SELECT url, page_id FROM pages WHERE {_IS_SEED})"
 _DOMAINS = f"domains AS (SELECT DISTINCT {_NETLOC.format('url')} AS netloc FROM seeds)"
 
+_CRAWL = f"""{_LINKS}, {_SEEDS}, {_DOMAINS},
+level0 AS (
+  SELECT url, row_number() OVER (ORDER BY place, url) AS place
+  FROM (SELECT {_NORM.format('url')} AS url, min(page_id) AS place FROM seeds GROUP BY 1)),
+firsts AS (SELECT {_NORM.format('url')} AS url, min(page_id) AS page_id FROM pages GROUP BY 1),
+level1 AS (
+  SELECT url, row_number() OVER (ORDER BY found) AS place FROM (
+    SELECT dst AS url, min((level0.place, pos)) AS found
+    FROM level0 JOIN firsts USING (url) JOIN links USING (page_id)
+    WHERE {_NETLOC.format('dst')} IN (SELECT netloc FROM domains) AND dst NOT IN (SELECT url FROM level0)
+    GROUP BY dst)),
+level2 AS (
+  SELECT url, row_number() OVER (ORDER BY found) AS place FROM (
+    SELECT {_ORIGIN.format('url')} || '/hop/' || md5(url)[1] AS url, min(place) AS found FROM level1 GROUP BY 1)
+  WHERE url NOT IN (SELECT url FROM level0) AND url NOT IN (SELECT url FROM level1)),
+crawled AS (
+  SELECT url, 0 AS depth, place FROM level0 UNION ALL SELECT url, 1, place FROM level1
+  UNION ALL SELECT url, 2, place FROM level2)"""
+
 _ACCEPTED = """url NOT LIKE '%#%' AND url NOT LIKE '%utm\\_source%' ESCAPE '\\'
   AND (url LIKE 'https:%' OR url NOT LIKE '%//www.%')"""
 
@@ -258,6 +281,12 @@ SELECT qid, id, position::INTEGER AS position, printf('[%.1f%%] %s', similarity
 FROM placed WHERE (position - 1) // 10 = 1""",
     "page_counts": f"""{_TITLE_FOREST} SELECT qid, count(*) AS results,
   ceil(count(*) / 10)::BIGINT AS pages FROM hits GROUP BY qid""",
+    "crawl_two_levels": f"WITH {_CRAWL} SELECT url, depth FROM crawled",
+    "crawl_limit": f"WITH {_CRAWL} SELECT url, depth FROM crawled ORDER BY depth, place LIMIT 60",
+    "whole_file_frequencies": f"""WITH {_FREQS} SELECT scope, ch, sum(freq)::BIGINT AS freq FROM (
+      SELECT scope, ch, freq FROM freqs
+      UNION ALL SELECT lang, chr(10), count(*) FROM documents GROUP BY lang) GROUP BY ALL""",
+    "stream_recent_urls": f"WITH {_TITLES} SELECT DISTINCT url FROM titles",
     "char_frequencies": f"WITH {_FREQS} SELECT scope, ch, freq FROM freqs",
     "huffman_codes": f"{_CODES} SELECT scope, ch, freq, code, length(code)::INTEGER AS code_len FROM codes",
     "code_listing": f"""{_CODES} SELECT scope, CASE ch WHEN chr(10) THEN '''\\n'''

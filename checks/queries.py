@@ -19,7 +19,7 @@ from titleloom.operators.search import as_json
 from titleloom.plans.durable import stored, working_path
 from titleloom.session import ship
 from titleloom.sources.containers import container_titles
-from titleloom.sources.tables import append_titles, read_table, read_titles_csv
+from titleloom.sources.tables import append_titles, read_table, read_text, read_titles_csv, write_text
 from titleloom.streaming.titles import arriving_pages, ingest, titles_of
 
 ALL_PAGES = 1 << 40
@@ -195,6 +195,35 @@ def crawl_with_robots(spark, folder):
     return crawl.titles()
 
 
+def _linked_pages(spark, folder):
+    """The pages, a page for every link target of the seeds' hosts, and the pages that those link on to."""
+    pages = _pages(spark, folder)
+    links = tl.extract_links(pages).filter(_host_ends(F.col("dst"), ".org"))
+    number = lambda url: F.conv(F.substring(F.md5(url), 1, 12), 16, 10).cast("bigint")
+    mark = F.substring(F.md5("url"), 1, 1)
+    targets = links.select(F.col("dst").alias("url")).distinct()
+    hops = targets.select(F.concat(origin(F.col("url")), F.lit("/hop/"), mark).alias("url")).distinct()
+    onward = F.concat(F.lit("<h1>x</h1><a href=\"/hop/"), mark, F.lit("\">on</a>"))
+    made = targets.withColumn("html", onward).unionByName(hops.withColumn("html", F.lit("<h1>end</h1>")))
+    return pages.select("page_id", "url", "html").unionByName(
+        made.select(number(F.col("url")).alias("page_id"), "url", "html")
+    )
+
+
+@query
+def crawl_two_levels(spark, folder):
+    """Seeds, the targets of their links, and one step further."""
+    seeds = _seeds(_pages(spark, folder))
+    return tl.crawl_order(_linked_pages(spark, folder), seeds, ALL_PAGES).pages.select("url", "depth")
+
+
+@query
+def crawl_limit(spark, folder):
+    """The first 60 pages in the order of the crawl."""
+    seeds = _seeds(_pages(spark, folder))
+    return tl.crawl_order(_linked_pages(spark, folder), seeds, 60).pages.select("url", "depth")
+
+
 @query
 def title_tokens(spark, folder):
     words = tokens(F.col("title"))
@@ -366,6 +395,16 @@ def code_table_sizes(spark, folder):
     )
 
 
+@query
+def whole_file_frequencies(spark, folder):
+    """Documents as text files by language, read whole, coded and decoded, and their characters counted."""
+    path = working_path(spark, "texts")
+    write_text(_documents(spark, folder), path, by="lang")
+    files = read_text(spark, path).withColumn("lang", F.regexp_extract("path", "/lang=([^/]*)/", 1))
+    back = tl.decompress_column(tl.compress_alone(files), name="text")
+    return tl.char_frequencies(back, "lang")
+
+
 @query
 def compression_report(spark, folder):
     return tl.compression_report(_documents(spark, folder), _codes(spark, folder), "lang")
@@ -458,6 +497,16 @@ def stream_titles(spark, folder):
     return _ingested(spark, folder, once=False)
 
 
+@query
+def stream_recent_urls(spark, folder):
+    """As ``stream_unique_urls``, with an arrival time that bounds the state."""
+    out, marks = working_path(spark, "stream"), working_path(spark, "stream-checkpoint")
+    arriving = arriving_pages(spark, f"{folder}/pages.parquet*")
+    timed = arriving.withColumn("arrived", F.timestamp_seconds(F.col("page_id") + 1_700_000_000))
+    ingest(titles_of(timed, arrival="arrived"), out, marks).awaitTermination()
+    return spark.read.parquet(out).select("url")
+
+
 @query
 def stream_unique_urls(spark, folder):
     return _ingested(spark, folder, once=True).select("url")

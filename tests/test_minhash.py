@@ -69,6 +69,15 @@ def test_estimate_is_near_jaccard(spark):
     assert sum(errors) < 1.1 * sum(expected)
 
 
+def test_constants_are_frozen():
+    a, b = minhash.permutations()
+    digest = hashlib.sha256(a.astype("<u8").tobytes() + b.astype("<u8").tobytes()).hexdigest()
+    assert digest == "d4d3ade4e025058ec11116259daaf7131d09adce90cf9a0872dc9f0f9d405349"
+    assert by_hand({"uno", "dos"})[:4] == [1028117300, 50709270, 610319044, 843115591]
+    whole = np.array(by_hand({"uno", "dos"}), ">u4").tobytes()
+    assert hashlib.sha256(whole).hexdigest() == "10f9dbefc5d1e52e553b5727604ac722c08993bf4f9c87b102e6be405ea828fe"
+
+
 def test_coefficients_follow_from_the_seed():
     a, b = minhash.permutations()
     assert len(a) == len(b) == 128 and a.min() >= 1 and a.max() < minhash.PRIME

@@ -11,6 +11,9 @@ NA_TITLES = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# Fixed value: the label of a title that is missing.
+NO_TITLE = "Sin Título"
+
 # Unicode white space plus the four ASCII separators that Python also splits on.
 _SPACE = r"[\s\x1c-\x1f]"
 
@@ -49,4 +52,4 @@ def printable_char(ch: Column) -> Column:
 
 def result_label(similarity: Column, title: Column) -> Column:
     """Heading of one search hit, such as ``[97.3%] some title``; ties round to even."""
-    return F.format_string("[%.1f%%] %s", F.bround(similarity * 100, 1), F.coalesce(title, F.lit("Sin Título")))
+    return F.format_string("[%.1f%%] %s", F.bround(similarity * 100, 1), F.coalesce(title, F.lit(NO_TITLE)))

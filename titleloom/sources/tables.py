@@ -46,9 +46,11 @@ def append_titles_jdbc(titles: DataFrame, table: str, options: dict[str, str]) -
     ).save()
 
 
-def write_text(texts: DataFrame, path: str, text: str = "text") -> None:
-    """Write a text column as plain UTF-8 files."""
-    texts.select(F.col(text).alias("value")).write.text(path)
+def write_text(texts: DataFrame, path: str, text: str = "text", by: str | None = None) -> None:
+    """Write a text column as plain UTF-8 files, each text with a line end; ``by`` names a column for subfolders."""
+    keep = [by] if by else []
+    writer = texts.select(F.col(text).alias("value"), *keep).write
+    (writer.partitionBy(by) if by else writer).text(path)
 
 
 def write_json(hits: DataFrame, path: str) -> None:
