@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from titleloom.llm.common import stored
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.hash("a", "b"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every ``a`` has one ``b``, and no ``b`` is an ``a``."""
+    rows, ends = edges.agg(F.count("*"), F.count_distinct("a")).first()
+    if rows != ends:
+        return False
+    return edges.select(F.col("b").alias("a")).distinct().join(edges, "a", "left_semi").isEmpty()
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -25,8 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     ends = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     edges = stored(edges.filter("a <> b").select(*ends).distinct(), "edges")
-    mark = _mark(edges)
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = both.join(_star(both), "a").filter("b > a")
         large = large.select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
@@ -34,6 +37,4 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = _star(edges)
         small = edges.join(lowest, "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         edges = stored(small.unionByName(lowest.withColumnRenamed("low", "b")).distinct(), "edges")
-        before, mark = mark, _mark(edges)
-        if mark == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
