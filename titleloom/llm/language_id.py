@@ -1,8 +1,8 @@
 """Language identification in two steps: the language family, then one-versus-one linear SVMs within it.
 
 Features are hashed byte n-grams of the whole lower-cased text, as a unit vector of square roots of counts.
-Classifiers are fitted on a sample of labelled rows that has a bound for each language and in all; feature
-vectors, not texts, come to the driver. Prediction is one pass over the texts without a shuffle.
+Classifiers are fitted on a sample of labelled rows of bounded size; feature vectors, not texts, come to the
+driver. Prediction is one pass over the texts without a shuffle.
 
 Defined results
     * Null and empty texts, and texts without a letter, are ``und`` with score 0.
@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titleloom.llm.common import blob, text_or_empty
@@ -29,7 +29,7 @@ UNDETERMINED = "und"
 #: Length of a feature vector, and the n-gram lengths that are hashed into it.
 FEATURES = 1 << 12
 NGRAMS = (1, 2, 3, 4)
-#: Most labelled rows to fit on, for each language and in all.
+#: Labelled rows to fit on: expected number for each language, most in all.
 PER_LANGUAGE = 400
 MOST_ROWS = 8000
 #: One row in so many is held out from learning.
@@ -176,20 +176,22 @@ def fit_languages(
     per_language: int = PER_LANGUAGE,
     most_rows: int = MOST_ROWS,
 ) -> LanguageModel:
-    """Fit on labelled rows outside the held-out fold: those with the lowest hashes of id and text in each language."""
+    """Fit on labelled rows outside the held-out fold: in each language a share of them by a hash of id and text.
+
+    The share comes from the number of rows of the language, so some ``per_language`` rows are taken, and no
+    more than ``most_rows`` in all even if rows repeat.
+    """
     rows = docs.select(
         F.col(lang).cast("string").alias("lang"),
-        F.xxhash64(F.col(id).cast("string"), F.col(text)).alias("key"),
+        F.xxhash64(F.col(id).cast("string"), F.col(text)).bitwiseAND(F.lit((1 << 52) - 1)).alias("key"),
         F.col(text).cast("string").alias("text"),
     ).filter(F.col("lang").isNotNull() & ~held_out(id) & _has_letters(F.col("text")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    lowest = rows.select("lang", "key").withColumn("rank", rank).filter(F.col("rank") <= per_language)
-    cuts = {r["lang"]: r["rows"] for r in lowest.groupBy("lang").agg(F.collect_list("key").alias("rows")).collect()}
-    if not cuts:
+    counts = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
         return LanguageModel()
-    share = max(2, min(per_language, most_rows // len(cuts)))
-    last = F.create_map(*[F.lit(x) for lang, keys in cuts.items() for x in (lang, sorted(keys)[:share][-1])])
-    sample = rows.filter(F.col("key") <= last[F.col("lang")]).select("lang", "text")
+    share = max(2, min(per_language, most_rows // (2 * len(counts))))
+    last = F.create_map(*[F.lit(x) for name, n in sorted(counts.items()) for x in (name, min(1.0, share / n) * (1 << 52))])
+    sample = rows.filter(F.col("key") < last[F.col("lang")]).select("lang", "text")
 
     def vectors(batches):
         for batch in batches:
@@ -199,6 +201,8 @@ def fit_languages(
 
     got = sample.mapInArrow(vectors, "lang string, vector binary").limit(most_rows).collect()
     got = sorted((r["lang"], bytes(r["vector"])) for r in got)
+    if not got:
+        return LanguageModel()
     return LanguageModel.fit(np.stack([np.frombuffer(v, np.float32) for _, v in got]), [name for name, _ in got])
 
 
