@@ -40,7 +40,7 @@ END_ID = 2
 #: Constant that is added to a rotated checksum.
 MASK = 0xA282EAD8
 #: Entries of each of the two generations of the word cache of a Python worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 _HEAD, _CHECK, _ID = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BI")
 _BLANK_AFTER_BLANK = re.compile(r"\s ")
