@@ -1,9 +1,7 @@
-"""What several operators share: reading tables, row tags, sized broadcasts, removal of working tables."""
+"""What several operators share."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +9,7 @@ from pyspark.sql import functions as F
 from titleloom.plans.durable import stored, working_path
 from titleloom.session import ship
 
-__all__ = ["blob", "discard", "rows_of", "stored", "table", "text_or_empty", "working_path"]
+__all__ = ["blob", "stored", "table", "text_or_empty", "working_path"]
 
 #: Characters that separate words in the contracts that speak of white space: U+0020 and U+0009 to U+000D.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -32,17 +30,3 @@ def blob(column: pa.Array, i: int) -> bytes:
     """UTF-8 bytes of one string of an Arrow column; null is empty."""
     value = column[i].as_buffer()
     return value.to_pybytes() if value is not None else b""
-
-
-def rows_of(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list]:
-    """Rows of Arrow batches as lists of Python values, batch by batch."""
-    for batch in batches:
-        yield list(zip(*(batch.column(name).to_pylist() for name in columns), strict=True))
-
-
-def discard(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete working tables that no later plan reads."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in {name.rpartition("/")[0] for df in tables for name in df.inputFiles()}:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)

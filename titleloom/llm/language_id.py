@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titleloom.llm.common import blob, text_or_empty
+from titleloom.llm.common import blob
 
 UNDETERMINED = "und"
 #: Length of a feature vector, and the n-gram lengths that are hashed into it.
