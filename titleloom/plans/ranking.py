@@ -30,30 +30,34 @@ def top_k(
     return out.withColumnRenamed("_rank", rank) if rank else out.drop("_rank")
 
 
+def _last_of(narrow: DataFrame, order: str, n: int) -> int:
+    return narrow.orderBy(order).limit(n).agg(F.max(order)).first()[0]
+
+
 def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
     """First ``n`` rows by a unique BIGINT made by ``ordered_ids``.
 
-    A large ``n`` is cut by ranges of ids: counts per range are small and tell where the cut
-    falls; only the range that holds it is ranked.
+    The last of these ids is found on the narrow column alone, and rows are then filtered by it where they
+    are. A large ``n`` is cut by ranges of ids: counts per range are small and tell where the cut falls.
     """
-    if n <= _SMALL_LIMIT:
-        return df.orderBy(order).limit(n)
-    part = F.shiftrightunsigned(F.col(order), 20)
-    sizes = df.groupBy(part.alias("_part")).count()
-    before = F.sum("count").over(
-        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    edge = (
-        sizes.withColumn("_before", F.coalesce(before, F.lit(0)))
-        .filter(F.col("_before") < n)
-        .orderBy(F.desc("_part"))
-        .first()
-    )
-    if edge is None:
-        return df.limit(0)
-    full = df.filter(part < edge["_part"])
-    rest = df.filter(part == edge["_part"]).orderBy(order).limit(n - edge["_before"])
-    return full.unionByName(rest)
+    narrow, left = df.select(order), n
+    if n > _SMALL_LIMIT:
+        part = F.shiftrightunsigned(F.col(order), 20)
+        sizes = narrow.groupBy(part.alias("_part")).count()
+        before = F.sum("count").over(
+            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        edge = (
+            sizes.withColumn("_before", F.coalesce(before, F.lit(0)))
+            .filter(F.col("_before") < n)
+            .orderBy(F.desc("_part"))
+            .first()
+        )
+        if edge is None:
+            return df.limit(0)
+        narrow, left = narrow.filter(part == edge["_part"]), n - edge["_before"]
+    last = _last_of(narrow, order, left)
+    return df.limit(0) if last is None else df.filter(F.col(order) <= last)
 
 
 def ordered_ids(df: DataFrame, order: list[Column], name: str) -> DataFrame:
