@@ -275,29 +275,52 @@ def match_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     )
 
 
-def _cleaned(text: bytes, automata: list[ItemAutomaton], max_coverage: float) -> bytes | None:
-    """The text without hit words; None when they are too large a share of it.
+def _cleaned(text: bytes, items: ItemAutomaton, total: int, lost: int, most: float) -> tuple[bytes | None, int, int]:
+    """The text without hit words, or None when they are too large a share of the ``total``; words and lost words.
 
     Cutting brings words together that were apart, so this goes on until nothing is hit.
     """
-    total = lost = 0
     while True:
         places = [m.span() for m in _WORD.finditer(text.translate(_LOWER))]
         total = total or len(places)
-        words = [text[a:b].translate(_LOWER) for a, b in places]
-        spans = _merged([edge for one in automata for span in one.hits(words)[0] for edge in span])
+        spans, _ = items.hits([text[a:b].translate(_LOWER) for a, b in places])
         if not spans:
-            return text
-        lost += sum(spans[1::2]) - sum(spans[::2])
-        if lost > max_coverage * total:
-            return None
+            return text, total, lost
+        lost += sum(end - first for first, end in spans)
+        if lost > most * total:
+            return None, total, lost
         kept, upto = [], 0
-        for first, end in zip(spans[::2], spans[1::2], strict=True):
+        for first, end in spans:
             kept.append(text[upto : places[first][0]])
             upto = places[end - 1][1]
         text = b"".join([*kept, text[upto:]])
 
 
+def _cut(rows: DataFrame, text: str, items: ItemAutomaton, most: float) -> DataFrame:
+    """One pass over ``rows``, which end in ``_total`` and ``_lost``, with the items of one block."""
+    shared = rows.sparkSession.sparkContext.broadcast(items)
+
+    def clean(batches):
+        items = shared.value
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            column, out = batch.column(at), []
+            totals, losses = batch.column("_total").to_pylist(), batch.column("_lost").to_pylist()
+            keep = []
+            for i in range(len(batch)):
+                whole = blob(column, i) if column[i].is_valid else None
+                rest = whole
+                if whole:
+                    rest, totals[i], losses[i] = _cleaned(whole, items, totals[i], losses[i], most)
+                keep.append(rest is not None or whole is None)
+                out.append(None if rest is None else rest.decode())
+            columns = [*batch.columns[:-2], pa.array(totals, pa.int64()), pa.array(losses, pa.int64())]
+            columns[at] = pa.array(out, column.type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(clean, rows.schema)
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -310,25 +333,21 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` with hit spans cut out of ``text``; documents that lose more than ``max_coverage`` of their words go.
 
-    Clean rows pass unchanged. With several blocks the texts pass through one after the other, and once
-    more through all of them as long as one of them cut something.
+    Clean rows pass unchanged. With several blocks the texts pass through one block after the other, so that a
+    worker holds the automaton of one, and again through all of them as long as a round cut something.
     """
-    spark = docs.sparkSession
-    blocks = [
-        spark.sparkContext.broadcast(ItemAutomaton(block, window))
-        for block in _blocks(benchmark, item_id, item_text, block_bytes)
-    ]
-
-    def clean(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            column, out, keep = batch.column(at), [], []
-            for i in range(len(batch)):
-                whole = blob(column, i) if column[i].is_valid else None
-                rest = whole and _cleaned(whole, [one.value for one in blocks], max_coverage)
-                keep.append(rest is not None or whole is None)
-                out.append(rest)
-            texts = pa.array([x if x is None else x.decode() for x in out], column.type)
-            yield batch.set_column(at, batch.schema.field(at), texts).filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(clean, docs.schema) if blocks else docs
+    zero = F.lit(0).cast("bigint")
+    rows = docs.select("*", zero.alias("_total"), zero.alias("_lost"))
+    blocks = lambda: _blocks(benchmark, item_id, item_text, block_bytes)
+    state, before = (), None
+    while state != before:
+        passes, before = 0, state
+        for block in blocks():
+            if passes:
+                rows = stored(rows, "cleaned")
+            rows, passes = _cut(rows, text, ItemAutomaton(block, window), max_coverage), passes + 1
+        if passes < 2:
+            break
+        rows = stored(rows, "cleaned")
+        state = tuple(rows.agg(F.count("*"), F.sum("_lost")).first())
+    return rows.drop("_total", "_lost")
