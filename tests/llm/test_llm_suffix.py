@@ -81,5 +81,17 @@ def test_long_texts_in_pieces(monkeypatch):
     assert sorted(again) == sorted(named)
 
 
+@pytest.mark.parametrize("piece", [1 << 10, 1423])
+def test_nothing_repeats_at_edges_of_pieces(spark, piece):
+    rng = random.Random(12)
+    once, shared = words(rng, 3000), words(rng, 300)
+    texts = [once, words(rng, 700) + shared + words(rng, 500), words(rng, 400) + shared, words(rng, 150)[:piece]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = plain_repeats([t.encode() for t in texts], 400)
+    assert want[0][1] == 0
+    found = remove_repeats(docs, piece=piece).drop("kept")
+    assert plain_rows(found) == sorted(((i, *w) for i, w in enumerate(want)), key=repr)
+
+
 def test_empty(spark):
     assert remove_repeats(no_documents(spark)).count() == 0

@@ -98,13 +98,17 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
     return place[first], hashes[place[first]], starts[first], starts[last]
 
 
-def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """Texts, or overlapping parts of very long ones, in loads of a bounded size: row, offset and bytes."""
+def _pieces(texts: list[bytes], length: int, piece: int | None = None) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Texts, or overlapping parts of very long ones, in loads of a bounded size: row, offset and bytes.
+
+    Every start lies in one part: two anchors of one start would make it a repeat of itself.
+    """
+    piece = piece or _PIECE
     rows, offsets, parts, size = [], [], [], 0
     for row, text in enumerate(texts):
-        for begin in range(0, max(1, len(text) - length + 1), _PIECE - length):
-            part = text[begin : begin + _PIECE]
-            if size + len(part) > _PIECE and parts:
+        for begin in range(0, max(1, len(text) - length + 1), piece - length + 1):
+            part = text[begin : begin + piece]
+            if size + len(part) > piece and parts:
                 yield rows, offsets, parts
                 rows, offsets, parts, size = [], [], [], 0
             rows.append(row)
@@ -120,14 +124,14 @@ def _key(id: str, text: str) -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(F.col(id).cast("string"), F.lit("")), F.lit(":"), text_or_empty(text))))
 
 
-def _anchor_table(rows: DataFrame, length: int) -> DataFrame:
+def _anchor_table(rows: DataFrame, length: int, piece: int) -> DataFrame:
     """``(key, gram, place, first, last)`` of every anchor, places within the text."""
 
     def find(batches):
         for batch in batches:
             column, keys = batch.column("text"), batch.column("key")
             texts = [blob(column, i) for i in range(len(batch))]
-            for own, offsets, parts in _pieces(texts, length):
+            for own, offsets, parts in _pieces(texts, length, piece):
                 sizes = np.array([len(part) for part in parts])
                 ends = np.cumsum(sizes)
                 place, gram, first, last = anchors(np.frombuffer(b"".join(parts), np.uint8), ends, length)
@@ -293,11 +297,13 @@ def _distinct(rows: DataFrame, n: Column) -> DataFrame:
     )
 
 
-def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard: int = SHARD):
+def repeated_spans(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard: int = SHARD, piece: int = _PIECE
+):
     """``(spans, candidates)``: runs ``(key, begin, end)`` of bytes that repeat, not merged, and the texts that may
     hold some as ``(key, text)``. ``key`` names a row by its id and text."""
     rows = docs.select(_key(id, text).alias("key"), text_or_empty(text).alias("text"))
-    found = stored(_anchor_table(rows, length), "anchors")
+    found = stored(_anchor_table(rows, length, piece), "anchors")
     repeated = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
     near = stored(found.join(repeated, "gram", "left_semi"), "repeated-anchors")
     lists = stored(
@@ -346,7 +352,9 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     return b"".join([*kept, text[upto:]]), removed, runs
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard: int = SHARD) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, shard: int = SHARD, piece: int = _PIECE
+) -> DataFrame:
     """Per input row the id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept``.
 
     ``kept`` holds the remaining bytes, which need not be valid UTF-8, of rows that lost some, and is null elsewhere.
@@ -360,7 +368,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
         "rows",
     )
     copies = stored(base.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "copies")
-    spans, candidates = repeated_spans(docs, id, text, length, shard)
+    spans, candidates = repeated_spans(docs, id, text, length, shard, piece)
     runs = spans.groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     texts = candidates.dropDuplicates(["key"]).join(stored(runs, "runs"), "key")
 
