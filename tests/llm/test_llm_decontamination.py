@@ -70,6 +70,46 @@ def test_odd_rows(spark, block_bytes):
     assert {w[0] for w in want if not w[5]} <= {r.doc_id for r in rest}
 
 
+def plain_cut(text, items, most, window=10):
+    """The text after rounds of cutting the union of all hits, or None when too much went."""
+    total, lost = len(plain_words(text)), 0
+    while True:
+        places = [m.span() for m in WORD.finditer(text)]
+        hit, _ = plain_matches(plain_words(text), items, window)
+        if not hit:
+            return text
+        lost += len(hit)
+        if lost > most * total:
+            return None
+        kept, upto = "", 0
+        for i in sorted(hit):
+            if i - 1 not in hit:
+                kept += text[upto : places[i][0]]
+            upto = places[i][1]
+        text = kept + text[upto:]
+
+
+def test_blocks_cut_what_one_block_cuts(spark):
+    rng = random.Random(15)
+    rows, items = [], []
+    for i in range(60):
+        own = [f"w{i}x{k}" for k in range(60)]
+        first = rng.randrange(0, 15)
+        items += [(f"a{i}", " ".join(own[first : first + 15])), (f"b{i}", " ".join(own[first + 10 + i % 7 : first + 24 + i % 7]))]
+        if i % 5 == 0:  # words that only the first cut brings together
+            items.append((f"c{i}", " ".join(own[max(0, first - 6) : first] + own[first + 24 + i % 7 :][:8])))
+        rows.append((i, "; ".join(own[: 45 + i % 10])))
+    rows += [(60, None), (61, ""), (62, rows[0][1]), (62, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    named = [(i, plain_words(t)) for i, t in items]
+    want = [(i, t if t is None else plain_cut(t, named, 0.5)) for i, t in rows]
+    want = sorted(((i, t) for i, t in want if t is not None or i == 60), key=repr)
+    assert 5 < len(want) < 64
+    for block_bytes in (1 << 20, 3000):
+        assert plain_rows(decontaminate(docs, bench, block_bytes=block_bytes)) == want
+
+
 def test_empty(spark):
     docs, none = odd_documents(spark), spark.createDataFrame([], "item_id bigint, text string")
     assert match_report(docs, none).filter("contaminated").count() == 0

@@ -5,8 +5,8 @@ streamed through it word by word; the automaton's state and the matched length s
 suffix so far occurs in. Items of fewer words than a window count as one window of their own length.
 
 The automaton grows with the benchmark and not with the corpus. Items are dealt into blocks of bounded
-size; with more than one block every document is read against every block and what is found is merged, so
-the size of what is broadcast has a bound of its own.
+size; with more than one block every document is read against every block and what is found is merged before
+anything is cut, so the size of what is broadcast has a bound of its own and results do not depend on it.
 
 Defined results
     * Null and empty texts have no words and no hits. Items without words match nothing.
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -289,15 +289,20 @@ def _cleaned(text: bytes, items: ItemAutomaton, total: int, lost: int, most: flo
         lost += sum(end - first for first, end in spans)
         if lost > most * total:
             return None, total, lost
-        kept, upto = [], 0
-        for first, end in spans:
-            kept.append(text[upto : places[first][0]])
-            upto = places[end - 1][1]
-        text = b"".join([*kept, text[upto:]])
+        text = _without(text, places, spans)
+
+
+def _without(text: bytes, places: list[tuple[int, int]], spans: Iterable[tuple[int, int]]) -> bytes:
+    """The text without disjoint spans of its words, which lie at ``places``."""
+    kept, upto = [], 0
+    for first, end in spans:
+        kept.append(text[upto : places[first][0]])
+        upto = places[end - 1][1]
+    return b"".join([*kept, text[upto:]])
 
 
 def _cut(rows: DataFrame, text: str, items: ItemAutomaton, most: float) -> DataFrame:
-    """One pass over ``rows``, which end in ``_total`` and ``_lost``, with the items of one block."""
+    """``rows``, which end in ``_total`` and ``_lost``, without what the items of the only block hit."""
     shared = rows.sparkSession.sparkContext.broadcast(items)
 
     def clean(batches):
@@ -321,6 +326,39 @@ def _cut(rows: DataFrame, text: str, items: ItemAutomaton, most: float) -> DataF
     return rows.mapInArrow(clean, rows.schema)
 
 
+def _cut_spans(rows: DataFrame, text: str, most: float) -> DataFrame:
+    """``rows``, which end in ``_total``, ``_lost`` and the ``_spans`` of all blocks, with these cut out once."""
+
+    def clean(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            column, out, keep = batch.column(at), [], []
+            totals, losses = batch.column("_total").to_pylist(), batch.column("_lost").to_pylist()
+            for i, found in enumerate(batch.column("_spans").to_pylist()):
+                whole, edges = blob(column, i), _merged(found)
+                spans = list(zip(edges[::2], edges[1::2], strict=True))
+                places = [m.span() for m in _WORD.finditer(whole.translate(_LOWER))]
+                totals[i] = totals[i] or len(places)
+                losses[i] += sum(end - first for first, end in spans)
+                keep.append(losses[i] <= most * totals[i])
+                out.append(_without(whole, places, spans).decode() if keep[-1] else None)
+            columns = [*batch.columns[:-3], pa.array(totals, pa.int64()), pa.array(losses, pa.int64())]
+            columns[at] = pa.array(out, column.type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(clean, rows.drop("_spans").schema)
+
+
+def _block_spans(rows: DataFrame, text: str, automata: Iterable[ItemAutomaton]) -> DataFrame:
+    """``(_row, _spans)`` of the rows that any block hits; a worker holds the automaton of one block at a time."""
+    texts, every = rows.select("_row", text), None
+    for one in automata:
+        part = _found(texts, text, one).filter(F.size("_spans") > 0).select("_row", "_spans")
+        part = stored(part, "found")
+        every = part if every is None else every.unionByName(part)
+    return stored(every.groupBy("_row").agg(F.flatten(F.collect_list("_spans")).alias("_spans")), "spans")
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -333,21 +371,28 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` with hit spans cut out of ``text``; documents that lose more than ``max_coverage`` of their words go.
 
-    Clean rows pass unchanged. With several blocks the texts pass through one block after the other, so that a
-    worker holds the automaton of one, and again through all of them as long as a round cut something.
+    Clean rows pass unchanged. With several blocks a round finds the spans of all of them on the same texts, one
+    block after the other, and cuts their union once; texts that were cut go through further rounds until nothing
+    is hit. So the result does not depend on the blocks.
     """
     zero = F.lit(0).cast("bigint")
     rows = docs.select("*", zero.alias("_total"), zero.alias("_lost"))
-    blocks = lambda: _blocks(benchmark, item_id, item_text, block_bytes)
-    state, before = (), None
-    while state != before:
-        passes, before = 0, state
-        for block in blocks():
-            if passes:
-                rows = stored(rows, "cleaned")
-            rows, passes = _cut(rows, text, ItemAutomaton(block, window), max_coverage), passes + 1
-        if passes < 2:
-            break
-        rows = stored(rows, "cleaned")
-        state = tuple(rows.agg(F.count("*"), F.sum("_lost")).first())
-    return rows.drop("_total", "_lost")
+
+    def automata():
+        return (ItemAutomaton(block, window) for block in _blocks(benchmark, item_id, item_text, block_bytes))
+
+    blocks = automata()
+    first = next(blocks, None) or ItemAutomaton([], window)
+    second = next(blocks, None)
+    if second is None:
+        return _cut(rows, text, first, max_coverage).drop("_total", "_lost")
+    rows = docs.select("*", F.monotonically_increasing_id().alias("_row"), zero.alias("_total"), zero.alias("_lost"))
+    rows, blocks, clean = stored(rows, "numbered"), chain((first, second), blocks), None
+    while True:
+        spans = _block_spans(rows, text, blocks)
+        rest = rows.join(spans, "_row", "left_anti").select(*rows.columns)
+        clean = rest if clean is None else clean.unionByName(rest)
+        if spans.isEmpty():
+            return clean.select(*docs.columns)
+        hit = rows.join(spans, "_row").select(*rows.columns, "_spans")
+        rows, blocks = stored(_cut_spans(hit, text, max_coverage), "cut"), automata()
