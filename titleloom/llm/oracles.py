@@ -4,6 +4,13 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 
+
+def crc32_sql(number: str) -> str:
+    """Unsigned CRC-32 of the decimal digits of an integer column; DuckDB has no function for it."""
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(string_split({number}::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {bits}), 4294967295)"
+
 ORACLES["op4_warc"] = r"""
 WITH payloads AS (
   SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, '')))::BIGINT AS size FROM pages),
@@ -100,3 +107,40 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)"""
+
+
+# Runs out of equal strings of six words: a run has six equal words a period apart at least.
+ORACLES["op11_periodic_runs"] = r"""
+WITH split AS (
+  SELECT doc_id, row_number() OVER () AS row, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words,
+         """ + crc32_sql("doc_id") + r""" AS h FROM documents),
+sized AS (SELECT *, len(words) AS n, h // 10 AS g FROM split),
+placed AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM sized),
+cyclic AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed),
+texts AS (
+  SELECT doc_id, row, CASE WHEN h % 10 = 0 AND n > 0 THEN
+           [CASE WHEN i >= a THEN words[a + (i - a) % p + 1] ELSE words[i + 1] END for i in range(n)] ELSE words END AS words
+  FROM cyclic),
+tokens AS (SELECT row, i - 1 AS i, words[i] AS word FROM texts, unnest(range(1, len(words) + 1)) AS spot(i)),
+grams AS (
+  SELECT row, i - 1 AS i, array_to_string(words[i : i + 5], ' ') AS gram
+  FROM texts, unnest(range(1, len(words) - 4)) AS spot(i)),
+equal AS (
+  SELECT x.row, x.i, y.i - x.i AS period FROM grams x JOIN grams y ON x.row = y.row AND x.gram = y.gram AND x.i < y.i),
+islands AS (
+  SELECT row, period, i, i - row_number() OVER (PARTITION BY row, period ORDER BY i) AS island FROM equal),
+stretches AS (
+  SELECT row, period, min(i) AS start, max(i) - min(i) + 6 AS same FROM islands GROUP BY row, period, island),
+runs AS (
+  SELECT row, start, same + period AS length, min(period) AS period FROM stretches
+  WHERE same >= period AND same + period >= 12 GROUP BY row, start, same + period),
+lists AS (
+  SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         min_by({'start': start, 'length': length, 'period': period}, (-length, start, period)) AS best
+  FROM runs GROUP BY row),
+dropped AS (SELECT DISTINCT row, i FROM runs, unnest(range(start + period, start + length)) AS spot(i)),
+kept AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS kept FROM tokens ANTI JOIN dropped USING (row, i) GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length,
+       best.period::BIGINT AS period, (1000 * best.length // best.period)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM texts LEFT JOIN lists USING (row) LEFT JOIN kept USING (row)"""

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from titleloom.llm.chat_format import FORMATTED, digest_formatted, format_conversations
-from titleloom.llm.common import table, working_path
+from titleloom.llm.common import NOT_SPACES, table, text_or_empty, working_path
 from titleloom.llm.decontamination import match_report
 from titleloom.llm.exact_dedup import content_groups
 from titleloom.llm.language_id import identify_languages
 from titleloom.llm.mixing import mixed_sizes
+from titleloom.llm.periodic_runs import find_runs
 from titleloom.llm.quality_resampling import resample
 from titleloom.llm.simhash_dedup import near_duplicates
 from titleloom.llm.suffix_dedup import remove_repeats
@@ -91,3 +93,29 @@ def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_quality_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; a tenth of the texts, by a hash of the id, repeat some words of theirs to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.when(h % 10 == 0, F.regexp_extract_all(text_or_empty("text"), F.lit(NOT_SPACES), F.lit(0)))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), chosen.alias("words"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.expr("int(g % n)")))
+    rows = rows.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    again = F.expr("slice(concat(slice(words, 1, a), flatten(array_repeat(slice(words, a + 1, p), int((n - a) div p + 1)))), 1, n)")
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    rows = find_runs(looped(table(spark, folder, "documents")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listing = F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))))
+    rows = rows.withColumn("longest", F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("below")))))
+    return rows.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+        F.expr("-longest.before").alias("start"), "longest.length", F.expr("-longest.below").alias("period"),
+        F.expr("1000 * longest.length div -longest.below").alias("exponent_milli"),
+        F.sha2(listing, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
