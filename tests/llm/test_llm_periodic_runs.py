@@ -64,10 +64,7 @@ def test_long_periodic_texts_are_one_run(period):
 
 def test_rows_and_collapsed_texts(spark):
     docs = odd_documents(spark).unionByName(odd_documents(spark).withColumn("text", F.concat_ws("\t \n", "text", "text", "text")))
-    got = find_runs(docs).collect()
-    assert len(got) == docs.count()
-    for row, doc in zip(sorted(got, key=repr), sorted(docs.collect(), key=repr), strict=False):
-        assert row["n_words"] >= 0 and doc is not None
+    assert find_runs(docs).count() == docs.count()
     by_text = {(doc["doc_id"], doc["text"]) for doc in docs.collect()}
     small = {(i, text) for i, text in by_text if len(text or "") < 5000}
     rows = spark.createDataFrame(sorted(small, key=repr), "doc_id bigint, text string")
@@ -90,7 +87,10 @@ def test_collapse_keeps_columns_and_other_texts(spark):
     again = docs.filter("doc_id = 4").withColumn("text", F.array_join(F.array_repeat("text", 3), " "))
     done = collapse_runs(docs.unionByName(again))
     assert done.schema.simpleString() == docs.schema.simpleString()
-    assert sorted(map(repr, done.collect())) == sorted(map(repr, docs.union(docs.filter("doc_id = 4")).collect()))
+    want = docs.union(docs.filter("doc_id = 4")).withColumn(
+        "text", F.when(F.col("doc_id") == 10, "Ünï cödé \U0001f600").otherwise(F.col("text"))
+    )
+    assert sorted(map(repr, done.collect())) == sorted(map(repr, want.collect()))
 
 
 def test_no_rows(spark):
