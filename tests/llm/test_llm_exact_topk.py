@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from titleloom.llm import exact_topk
+from titleloom.llm.exact_topk import top_products
+from titleloom.llm.queries import op13_top_products
+
+SCHEMA = "vec_id bigint, vector array<bigint>"
+
+
+def plain_top(rows, asks, k):
+    """Every query against every other row."""
+    valid = [(i, v) for i, v in rows if v is not None and None not in v]
+    out = []
+    for at, (i, v) in enumerate(valid):
+        if asks(i):
+            scores = [
+                (-sum(a * b for a, b in zip(v, w, strict=False)), j is None, j or 0, j)
+                for other, (j, w) in enumerate(valid) if other != at
+            ]
+            out += [(i, rank + 1, j, -score) for rank, (score, _, _, j) in enumerate(sorted(scores)[:k])]
+    return sorted(out, key=repr)
+
+
+def random_vectors(rng, n, size, spread):
+    centres = [[rng.randrange(-spread, spread + 1) for _ in range(size)] for _ in range(5)]
+    rows = []
+    for i in range(n):
+        centre, scale = rng.choice(centres), rng.choice([1, 1, 1, 4])
+        rows.append((i, [scale * x + rng.randrange(-3, 4) for x in centre]))
+    return rows
+
+
+def asked(spark, rows, every=3, **options):
+    got = top_products(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % every == 0, **options)
+    assert got.schema.simpleString() == "struct<query_id:bigint,rank:int,vec_id:bigint,score:bigint>"
+    return sorted((tuple(row) for row in got.collect()), key=repr)
+
+
+@pytest.mark.parametrize("head,cells", [(2048, 1 << 22), (5, 40), (30, 400)])
+def test_best_of_all_pairs(spark, head, cells):
+    rng = random.Random(head)
+    rows = random_vectors(rng, 300, 12, 40)
+    # Copies, ties, nulls, other sizes, repeated ids and rows, no length.
+    rows += [(i + 1000, rows[7][1]) for i in range(60)] + rows[:5]
+    rows += [(None, rows[3][1]), (None, None), (3000, None), (3003, [1, None]), (3006, []), (3009, [0] * 12), (3012, [5, 6]), (3015, [9] * 20)]
+    assert asked(spark, rows, head=head, block_cells=cells, k=7) == plain_top(rows, lambda i: i is not None and i % 3 == 0, 7)
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    rows = [(0, [1, 2]), (1, [-3, 4]), (2, [0, -1])]
+    assert asked(spark, rows, 1) == plain_top(rows, lambda i: True, 20)
+    assert asked(spark, [(0, [1])]) == []
+
+
+def test_no_rows_and_no_queries(spark):
+    assert asked(spark, []) == []
+    assert asked(spark, [(1, [1, 2]), (2, [3, 4])]) == []
+
+
+def test_products_beyond_doubles_are_exact(spark):
+    big = 1 << 30
+    rows = [(0, [big, 1, big]), (1, [big, 1, big - 1]), (2, [big, 0, big - 1]), (3, [big - 1, 3, big]), (4, [1, 1, 1])]
+    assert asked(spark, rows, k=3) == plain_top(rows, lambda i: i % 3 == 0, 3)
+    with pytest.raises(ValueError, match="long"):
+        asked(spark, [(0, [1 << 40]), (1, [1 << 40])])
+
+
+def test_wide_vectors_without_rotation(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "ROTATED", 4)
+    rows = random_vectors(random.Random(2), 80, 9, 30)
+    assert asked(spark, rows, k=5) == plain_top(rows, lambda i: i % 3 == 0, 5)
+
+
+def test_columns_named_like_inner_ones_do_not_matter(spark):
+    rows = [(i, [i, 1], "x", "y", "z") for i in range(9)]
+    names = ["vec_id", "vector", "length", "row", "rank"]
+    got = top_products(spark.createDataFrame(rows, names), F.col("length") == "x", k=2)
+    assert got.count() == 18
+
+
+def test_the_query_leaves_out_vectors_that_are_not_finite(spark, tmp_path):
+    rows = [(0, [0.5, -0.01]), (1, [float("nan"), 1.0]), (2, [float("inf"), 1.0]), (3, [None, 1.0]), (4, None), (20, [1.0, 2.0]), (5, [-0.5, 0.03])]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(tuple(row) for row in op13_top_products(spark, str(tmp_path)).collect())
+    assert got == [(0, 1, 20, 1920), (0, 2, 5, -1025), (20, 1, 0, 1920), (20, 2, 5, -1920)]

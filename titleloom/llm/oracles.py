@@ -144,3 +144,16 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS star
        best.period::BIGINT AS period, (1000 * best.length // best.period)::BIGINT AS exponent_milli,
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
 FROM texts LEFT JOIN lists USING (row) LEFT JOIN kept USING (row)"""
+
+
+ORACLES["op13_top_products"] = r"""
+WITH numbers AS (
+  SELECT vec_id, rowid AS row, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vector
+  FROM (SELECT *, row_number() OVER () AS rowid FROM embeddings)
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, q.row AS query_row, c.vec_id, list_inner_product(q.vector, c.vector)::BIGINT AS score
+  FROM numbers q JOIN numbers c ON q.vec_id % 20 = 0 AND q.row <> c.row),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20"""

@@ -11,6 +11,7 @@ from titleloom.llm.chat_format import FORMATTED, digest_formatted, format_conver
 from titleloom.llm.common import NOT_SPACES, table, text_or_empty, working_path
 from titleloom.llm.decontamination import match_report
 from titleloom.llm.exact_dedup import content_groups
+from titleloom.llm.exact_topk import top_products
 from titleloom.llm.language_id import identify_languages
 from titleloom.llm.mixing import mixed_sizes
 from titleloom.llm.periodic_runs import find_runs
@@ -119,3 +120,11 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("1000 * longest.length div -longest.below").alias("exponent_milli"),
         F.sha2(listing, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = table(spark, folder, "embeddings").filter(F.col("embedding").isNotNull() & finite)
+    whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")))
+    return top_products(rows.select("vec_id", whole.alias("vector")), F.col("vec_id") % 20 == 0)
