@@ -157,3 +157,37 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
+ORACLES["op12_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS lender, """ + crc32_sql("conv_id") + r""" % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.lender AND pos <= h
+  UNION ALL SELECT c.conv_id, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND pos > h),
+paths AS (
+  SELECT conv_id, row_number() OVER way AS depth, length(text) AS chars,
+         string_agg(sha256(role) || sha256(text), '') OVER (way ROWS UNBOUNDED PRECEDING) AS key,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM rebuilt WINDOW way AS (PARTITION BY conv_id ORDER BY pos)
+  UNION ALL
+  SELECT c.conv_id, 0, 0, '', (SELECT count(*) FROM rebuilt r WHERE r.conv_id = c.conv_id) FROM convs c),
+nodes AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n_turns = depth), '') AS ends
+  FROM paths GROUP BY key, depth),
+trees AS (
+  SELECT n.key, p.conv_id AS parent, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.key[: 128 * n.depth] = n.key) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND n.key[: 128 * p.depth] = p.key)
+SELECT u.conv_id, u.depth, any_value(t.parent) AS parent_conv_id, any_value(u.n_convs) AS n_convs,
+       any_value(t.n_children) AS n_children, count(*) FILTER (below.n_children = 0) AS n_leaves,
+       sum((v.n_convs - 1) * v.chars)::BIGINT AS saved_tokens, any_value(sha256(u.ends)) AS ends_sha256
+FROM nodes u JOIN trees t ON t.key = u.key JOIN nodes v ON v.depth >= u.depth AND v.key[: 128 * u.depth] = u.key
+  JOIN trees below ON below.key = v.key
+GROUP BY u.key, u.conv_id, u.depth"""

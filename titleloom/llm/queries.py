@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from titleloom.llm.chat_format import FORMATTED, digest_formatted, format_conversations
@@ -15,6 +15,7 @@ from titleloom.llm.exact_topk import top_products
 from titleloom.llm.language_id import identify_languages
 from titleloom.llm.mixing import mixed_sizes
 from titleloom.llm.periodic_runs import find_runs
+from titleloom.llm.prefix_trie import prefix_nodes, turn_digests
 from titleloom.llm.quality_resampling import resample
 from titleloom.llm.simhash_dedup import near_duplicates
 from titleloom.llm.suffix_dedup import remove_repeats
@@ -128,3 +129,22 @@ def op13_top_products(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").filter(F.col("embedding").isNotNull() & finite)
     whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")))
     return top_products(rows.select("vec_id", whole.alias("vector")), F.col("vec_id") % 20 == 0)
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Digests of turns; the first few of each conversation are taken from that with the next lower round hundred."""
+    rows = turn_digests(turns).filter("conv_id IS NOT NULL")
+    place = Window.partitionBy("conv_id").orderBy("pos", "digest")
+    rows = rows.withColumn("pos", F.row_number().over(place).cast("bigint"))
+    borrowed = F.crc32(F.col("conv_id").cast("string")) % 6
+    heads = rows.filter("conv_id % 100 = 0 AND pos < 6").withColumnRenamed("conv_id", "lender")
+    convs = rows.filter("pos = 1").select("conv_id", borrowed.alias("h"), F.expr("conv_id - conv_id % 100").alias("lender"))
+    lent = convs.join(heads, "lender").filter("pos <= h")
+    columns = ["conv_id", "pos", "digest", "chars"]
+    named = convs.selectExpr("conv_id", "bigint(0) AS pos", "CAST(NULL AS binary) AS digest", "bigint(0) AS chars")
+    return rows.filter(F.col("pos") > borrowed).select(*columns).unionByName(lent.select(*columns)).unionByName(named)
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_nodes(rebuilt(table(spark, folder, "conversations")))
