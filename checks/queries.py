@@ -436,7 +436,7 @@ def codec_roundtrip(spark, folder):
     docs = _documents(spark, folder)
     codes = _codes(spark, folder)
     packed = tl.compress_column(docs, codes, "lang", header=False)
-    back = tl.decompress_column(packed, name="decoded", codes=codes, scope="lang")
+    back = tl.decompress_column(packed, name="decoded", codes=codes, scope="lang", tasks=0)
     return back.select(
         "doc_id",
         (F.col("decoded") == F.col("text")).alias("equal"),
@@ -447,7 +447,7 @@ def codec_roundtrip(spark, folder):
 @query
 def single_file_roundtrip(spark, folder):
     turns = tl.compress_alone(read_table(spark, folder, "conversations"))
-    back = tl.decompress_column(turns, name="decoded")
+    back = tl.decompress_column(turns, name="decoded", tasks=0)
     return back.select("conv_id", "turn", F.md5(F.col("decoded").cast("binary")).alias("text_md5"))
 
 
@@ -465,7 +465,7 @@ def titles_from_containers(spark, folder):
         F.concat(F.lit("id,title,url\n"), row, F.lit("\n")).alias("text"),
     )
     content = tl.compress_alone(texts).select("path", F.col("blob").alias("content"))
-    return container_titles(content).select(F.col("id").cast("bigint").alias("id"), "url", "title")
+    return container_titles(content, tasks=0).select(F.col("id").cast("bigint").alias("id"), "url", "title")
 
 
 @query

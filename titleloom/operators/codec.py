@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from titleloom.functions import huffman
 from titleloom.functions.text import printable_char, unix_newlines
-from titleloom.plans.sizing import fits, lookup_join
+from titleloom.plans.sizing import dealt, fits, lookup_join
 
 
 def _scope(scope: str | None) -> Column:
@@ -112,18 +112,21 @@ def compress_column(
     text: str = "text",
     name: str = "blob",
     header: bool = True,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Add each text, coded with the code of its scope; NULL for empty text.
+    """Add each text, coded with the code of its scope; NULL for empty text. ``tasks`` as for ``dealt``.
 
     With ``header`` every value is a container of its own. Without it the code table stays in
     ``codes`` and values hold code bits only, which suits many short texts.
     """
-    return _coded(docs, codes, scope, unix_newlines(F.col(text)), name, header)
+    return _coded(dealt(docs, tasks), codes, scope, unix_newlines(F.col(text)), name, header)
 
 
-def compress_alone(docs: DataFrame, text: str = "text", name: str = "blob") -> DataFrame:
-    """Add each text as a container under a code of its own, without any shuffle."""
-    return docs.withColumn(name, huffman.encode_alone(unix_newlines(F.col(text))))
+def compress_alone(
+    docs: DataFrame, text: str = "text", name: str = "blob", tasks: int | None = None
+) -> DataFrame:
+    """Add each text as a container under a code of its own. ``tasks`` as for ``dealt``."""
+    return dealt(docs, tasks).withColumn(name, huffman.encode_alone(unix_newlines(F.col(text))))
 
 
 def decompress_column(
@@ -132,8 +135,13 @@ def decompress_column(
     name: str = "text",
     codes: DataFrame | None = None,
     scope: str | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Add the text of a container column, or of a column without headers when given ``codes``."""
+    """Add the text of a container column, or of a column without headers when given ``codes``.
+
+    ``tasks`` as for ``dealt``; 0 where rows come from a step that has dealt them.
+    """
+    docs = dealt(docs, tasks)
     if codes is None:
         return docs.withColumn(name, huffman.decode(F.col(blob)))
     return _coded(docs, codes, scope, F.col(blob), name, None)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from titleloom.functions.minhash import first_slot, packed_signature, signed, token_hashes, trees_of
 from titleloom.functions.text import has_title, has_tokens, tokens
 from titleloom.plans.durable import stored
+from titleloom.plans.sizing import dealt
 
 
 def last_documents(docs: DataFrame, order: str = "pos") -> DataFrame:
@@ -25,12 +26,12 @@ def last_documents(docs: DataFrame, order: str = "pos") -> DataFrame:
     return latest.select(F.col("id").cast("string").alias("id"), "pos", "last.title", "last.url")
 
 
-def with_signature(rows: DataFrame, words: Column) -> DataFrame:
+def with_signature(rows: DataFrame, words: Column, tasks: int | None = None) -> DataFrame:
     """Add ``sig`` and ``trees`` of a token set.
 
-    Token hashes are an input of the vectorised function, so each is computed once.
+    Token hashes are an input of the vectorised function, so each is computed once. ``tasks`` as for ``dealt``.
     """
-    added = rows.withColumn("_signed", signed(token_hashes(words)))
+    added = dealt(rows, tasks).withColumn("_signed", signed(token_hashes(words)))
     return added.select(*rows.columns, "_signed.sig", "_signed.trees")
 
 

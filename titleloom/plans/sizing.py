@@ -1,4 +1,4 @@
-"""Broadcasts behind a check of the measured size."""
+"""Plans by size: broadcasts behind a check of the measured size, and small inputs dealt over all cores."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
 _SALTS = 32
+_DEALT_BYTES_A_CORE, _DEALT_BYTES = 32 << 20, 8 << 30
 
 
 def fits(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) -> bool:
@@ -29,3 +30,17 @@ def lookup_join(
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(_SALTS)).cast("int"))
     copies = table.withColumn("_salt", F.explode(salts))
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def dealt(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows of a small input over all cores, for a step behind it that takes long for each row.
+
+    A small table is often one file with one row group, hence one task. ``tasks`` is the number to deal over; 0
+    leaves rows where they are. By default that is done for inputs which Spark estimates above 32 MiB a core, or 8 GiB:
+    they have splits enough, and are never shuffled for this.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if tasks is None:
+        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        tasks = 2 * cores if size < min(cores * _DEALT_BYTES_A_CORE, _DEALT_BYTES) else 0
+    return rows.repartition(tasks) if tasks else rows

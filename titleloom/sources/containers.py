@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleloom.functions import huffman
+from titleloom.plans.sizing import dealt
 
 _BATCH = 10_000
+_TOGETHER, _SMALL = 1000, 1 << 18
 
 
 def read_containers(spark: SparkSession, path: str) -> DataFrame:
@@ -34,25 +36,36 @@ def _lines(pieces: Iterator[str]) -> Iterator[str]:
         yield rest
 
 
+def _texts(contents: list[bytes]) -> Iterator[Iterator[str]]:
+    """Texts of containers, in pieces; those of small ones are decoded together."""
+    for begin in range(0, len(contents), _TOGETHER):
+        own = contents[begin:begin + _TOGETHER]
+        small = [i for i, content in enumerate(own) if len(content) < _SMALL]
+        known = dict(zip(small, huffman.texts_of([own[i] for i in small])))
+        for i, content in enumerate(own):
+            yield iter([known.pop(i).decode("utf-8")]) if i in known else huffman.decoded_pieces(content)
+
+
 def _title_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["path", "row", "id", "url", "title"]
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            rows = csv.DictReader(_lines(huffman.decoded_pieces(bytes(content))))
-            out = []
-            for row, record in enumerate(rows):
+        out = []
+        for path, pieces in zip(batch["path"], _texts([bytes(content) for content in batch["content"]])):
+            for row, record in enumerate(csv.DictReader(_lines(pieces))):
                 out.append((path, row, record.get("id"), record.get("url") or None, record.get("title") or None))
                 if len(out) == _BATCH:
-                    yield pd.DataFrame(out, columns=["path", "row", "id", "url", "title"])
+                    yield pd.DataFrame(out, columns=names)
                     out = []
-            yield pd.DataFrame(out, columns=["path", "row", "id", "url", "title"])
+        yield pd.DataFrame(out, columns=names)
 
 
-def container_titles(containers: DataFrame) -> DataFrame:
+def container_titles(containers: DataFrame, tasks: int | None = None) -> DataFrame:
     """``(id, url, title, pos)`` from ``(path, content)`` rows that hold CSV text.
 
-    Ids are strings as they stand; a column that the text lacks is NULL. A container is decoded and parsed in pieces by one task; containers are spread over tasks.
+    Ids are strings as they stand; a column that the text lacks is NULL. A large container is decoded and parsed in
+    pieces by one task, small ones are decoded together. ``tasks`` as for ``dealt``.
     """
-    rows = containers.select("path", "content").mapInPandas(
+    rows = dealt(containers.select("path", "content"), tasks).mapInPandas(
         _title_rows, "path string, row bigint, id string, url string, title string"
     )
     place = F.struct(F.col("path").alias("file"), "row")
