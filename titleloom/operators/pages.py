@@ -28,7 +28,7 @@ def accepted_pages(pages: DataFrame) -> DataFrame:
 def extract_titles(pages: DataFrame) -> DataFrame:
     """``(page_id, url, title)`` of accepted pages that have an H1; an empty H1 gives ``''``."""
     found = accepted_pages(pages).select(
-        "page_id", "url", h1_source(visible_html(F.col("html"))).alias("h1")
+        "page_id", "url", h1_source(visible_html(F.col("html")), F.col("html")).alias("h1")
     )
     # Filtering on the finished columns keeps the search for H1 from running twice per page.
     return found.select(
