@@ -272,6 +272,12 @@ SELECT qid, id::VARCHAR AS id, depth::INTEGER AS depth, rank::INTEGER AS rank FR
     "search_documents": f"""{_DOCUMENT_FOREST}
 SELECT qid, id, url, similarity, md5(title) AS title_md5 FROM hits""",
     "search_saved_index": f"{_DOCUMENT_FOREST} SELECT qid, id, similarity FROM hits",
+    "search_updated_index": f"{_DOCUMENT_FOREST} SELECT qid, id, similarity FROM hits",
+    "search_streamed_index": f"{_TITLE_FOREST} SELECT qid, id, title, url, similarity FROM hits",
+    "container_files": """WITH texts AS (
+  SELECT conv_id, regexp_replace(string_agg(coalesce(role, '') || ': ' || coalesce(text, ''), chr(10) ORDER BY turn NULLS FIRST, role, text),
+    '\r\n?', chr(10), 'g') AS text FROM conversations GROUP BY conv_id)
+SELECT conv_id, length(text)::INTEGER AS chars, md5(text) AS text_md5 FROM texts""",
     "search_json": f"""{_TITLE_FOREST} SELECT qid, to_json({{
   'id': id, 'title': title, 'url': url, 'similarity': similarity}})::VARCHAR AS result FROM hits""",
     "search_positions": f"""{_TITLE_FOREST}, {_PLACED}
@@ -311,6 +317,9 @@ SELECT doc_id, padding::INTEGER AS padding, octet_length(body)::INTEGER AS paylo
     "single_file_roundtrip": f"SELECT conv_id, turn, md5({_LF}) AS text_md5 FROM conversations",
     "titles_from_containers": f"""WITH {_TITLES}
 SELECT page_id AS id, url, nullif(title, '') AS title FROM titles""",
+
+    "titles_from_container_files": f"""WITH {_TITLES}
+SELECT page_id AS id, url, nullif(title, '') AS title FROM titles""",
     "titles_from_csv": f"""WITH {_TITLES}
 SELECT page_id AS id, url, nullif(title, '') AS title FROM titles""",
     "appended_titles": f"WITH {_TITLES} SELECT url, title FROM titles",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import titleloom as tl
 from titleloom.functions.minhash import jaccard, jaccard_estimate
-from titleloom.functions.text import tokens
+from titleloom.functions.text import has_title, has_tokens, tokens
 from titleloom.functions.urls import netloc, normalize_url, origin, robots_url, scheme
 from titleloom.operators.codec import coded_bits, code_tables
 from titleloom.operators.index import forest_keys, last_documents, with_signature
@@ -18,9 +18,15 @@ from titleloom.operators.paging import numbered
 from titleloom.operators.search import as_json
 from titleloom.plans.durable import stored, working_path
 from titleloom.session import ship
-from titleloom.sources.containers import container_titles
+from titleloom.sources.containers import (
+    container_name,
+    container_titles,
+    read_container_text,
+    read_titles_container,
+    write_container_files,
+)
 from titleloom.sources.tables import append_titles, read_table, read_text, read_titles_csv, write_text
-from titleloom.streaming.titles import arriving_pages, ingest, titles_of
+from titleloom.streaming.titles import arriving_pages, ingest, ingest_index, titles_of
 
 ALL_PAGES = 1 << 40
 
@@ -332,6 +338,37 @@ def search_saved_index(spark, folder):
     return hits.select("qid", "id", "similarity")
 
 
+@query
+def search_updated_index(spark, folder):
+    """The same search through an index that got its documents in three batches: some with stale texts and some that
+    go again, then the others with the true texts of the stale ones, then after compaction the rest."""
+    rows = _as_titles(_documents(spark, folder))
+    turn = F.col("pos") % 4
+    has_words = has_title(F.col("title")) & has_tokens(F.col("title"))
+    text = F.when((turn == 1) & has_words, F.concat(F.lit("stale "), "title")).otherwise(F.col("title"))
+    stale = rows.filter(turn < 2).withColumn("title", text)
+    short_lived = rows.filter(turn == 3).withColumn("id", -1 - F.col("id"))
+    late = F.col("pos") + ALL_PAGES
+    index = tl.SegmentedIndex(spark, working_path(spark, "segments"))
+    index.add(stale.unionByName(short_lived), batch=0)
+    second = rows.filter(turn == 1).withColumn("pos", late).unionByName(rows.filter(turn == 2))
+    for _ in range(2):  # delivered twice
+        index.add(second, batch=1, removed=short_lived.select("id"))
+    index.compact()
+    index.add(rows.filter(turn == 3), batch=2)
+    hits = tl.search(index.load(), _passage_queries(spark, folder))
+    return hits.select("qid", "id", "similarity")
+
+
+@query
+def search_streamed_index(spark, folder):
+    """Titles of arriving pages, indexed batch by batch, and every title asked as a query."""
+    path, marks = working_path(spark, "streamed-index"), working_path(spark, "stream-checkpoint")
+    arriving = arriving_pages(spark, f"{folder}/pages.parquet*")
+    ingest_index(titles_of(arriving, once=False), path, marks).awaitTermination()
+    return tl.search(tl.SegmentedIndex(spark, path).load(), _title_queries(spark, folder)[1])
+
+
 @query
 def search_json(spark, folder):
     titles, asked = _title_queries(spark, folder)
@@ -468,6 +505,34 @@ def titles_from_containers(spark, folder):
     return container_titles(content, tasks=0).select(F.col("id").cast("bigint").alias("id"), "url", "title")
 
 
+@query
+def container_files(spark, folder):
+    """Each conversation as a container file, and what reading the files gives."""
+    path = working_path(spark, "containers")
+    line = F.concat(F.coalesce("role", F.lit("")), F.lit(": "), F.coalesce("text", F.lit("")))
+    turns = F.array_sort(F.collect_list(F.struct("turn", line.alias("line"))))
+    rows = read_table(spark, folder, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
+    texts = rows.select(F.col("conv_id").cast("string").alias("name"), F.array_join("turns.line", "\n").alias("text"))
+    write_container_files(tl.compress_alone(texts), path)
+    name = container_name(F.col("path")).cast("bigint")
+    return read_container_text(spark, path).select(
+        name.alias("conv_id"), F.char_length("text").alias("chars"), F.md5(F.col("text").cast("binary")).alias("text_md5")
+    )
+
+
+@query
+def titles_from_container_files(spark, folder):
+    """The title table as container files of CSV text, a hundred pages each, decoded and parsed again."""
+    path = working_path(spark, "title-containers")
+    titles = tl.extract_titles(_pages(spark, folder))
+    row = F.concat_ws(",", F.col("page_id").cast("string"), _quoted(F.col("title")), _quoted(F.col("url")))
+    lines = titles.groupBy(F.floor(F.col("page_id") / 100).cast("string").alias("name")).agg(F.collect_list(row).alias("rows"))
+    texts = lines.select("name", F.concat(F.lit("id,title,url\n"), F.array_join("rows", "\n")).alias("text"))
+    write_container_files(tl.compress_alone(texts), path)
+    found = read_titles_container(spark, path)
+    return found.select(F.col("id").cast("bigint").alias("id"), "url", "title")
+
+
 @query
 def titles_from_csv(spark, folder):
     path = working_path(spark, "csv")

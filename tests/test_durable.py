@@ -1,0 +1,55 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import titleloom as tl
+from titleloom.plans.durable import clear_working_tables, shared_dir, stored
+
+PLAIN = """
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert not spark.conf.get("spark.checkpoint.dir", None)
+import titleloom as tl
+from titleloom.plans.durable import shared_dir, stored
+with tl.working_tables(spark):
+    titles = spark.createDataFrame([(1, 0, "one two", "u"), (2, 1, "three", "u")], "id bigint, pos bigint, title string, url string")
+    hits = tl.search(tl.build_index(titles), tl.query_table(spark, "one two")).collect()
+    assert [(row.id, row.similarity) for row in hits] == [("1", 1.0)], hits
+    kept = shared_dir(spark)
+    assert shared_dir(spark) == kept
+import os
+print("LEFT", kept, os.listdir(kept))
+"""
+
+
+def test_a_plain_session_without_a_shared_folder(tmp_path):
+    """Not even the package is on the path of the workers; the folder is made, used and removed."""
+    env = os.environ | {"PYTHONPATH": "", "TMPDIR": str(tmp_path), "SPARK_CONF_DIR": str(tmp_path)}
+    code = f"import sys; sys.path.insert(0, {str(Path(tl.__file__).parent.parent)!r})\n{PLAIN}"
+    run = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-3000:]
+    _, folder, left = run.stdout.strip().splitlines()[-1].split(" ", 2)
+    assert folder.startswith(str(tmp_path)) and left == "[]" and not Path(folder).exists()
+
+
+def folders(spark):
+    place = Path(shared_dir(spark).removeprefix("file:"))
+    return set(place.iterdir()) if place.exists() else set()
+
+
+def test_working_tables_go_at_the_end(spark, tmp_path):
+    before = folders(spark)
+    outside = stored(spark.range(3), "outside")
+    with tl.working_tables(spark):
+        stored(stored(spark.range(9), "one"), "two").write.parquet(str(tmp_path / "kept"))
+        assert len(folders(spark) - before) == 3
+    assert len(folders(spark) - before) == 1 and outside.count() == 3
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 9
+
+
+def test_all_working_tables_of_an_application(spark):
+    stored(spark.range(3), "some")
+    clear_working_tables(spark)
+    assert not [path for path in folders(spark) if path.name.startswith("some-")]
+    assert stored(spark.range(3), "more").count() == 3

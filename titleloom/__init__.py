@@ -19,16 +19,20 @@ from titleloom.operators.pages import accepted_pages, extract_links, extract_tit
 from titleloom.operators.paging import page_counts, paginate
 from titleloom.operators.robots import robots_filter
 from titleloom.operators.search import forest_candidates, query_table, search
+from titleloom.operators.segments import SegmentedIndex
 from titleloom.plans.crawl import CrawlResult, crawl_order
+from titleloom.plans.durable import clear_working_tables, working_tables
 from titleloom.session import build_session
 
 __all__ = [
     "CrawlResult",
     "Index",
+    "SegmentedIndex",
     "accepted_pages",
     "build_index",
     "build_session",
     "char_frequencies",
+    "clear_working_tables",
     "code_listing",
     "compress_alone",
     "compress_column",
@@ -47,5 +51,6 @@ __all__ = [
     "search",
     "seed_domains",
     "start_frontier",
+    "working_tables",
     "write_index",
 ]

@@ -13,17 +13,23 @@ from titleloom.plans.durable import stored
 from titleloom.plans.sizing import dealt
 
 
+def latest_rows(docs: DataFrame, order: str = "pos") -> DataFrame:
+    """``last_documents`` with ``last``, the place of the row that won."""
+    titled = docs.filter(has_title(F.col("title"))).filter(has_tokens(F.col("title")))
+    latest = titled.groupBy("id").agg(
+        F.max_by(F.struct("title", "url"), F.col(order)).alias("won"),
+        F.min(order).alias("pos"),
+        F.max(order).alias("last"),
+    )
+    return latest.select(F.col("id").cast("string").alias("id"), "pos", "won.title", "won.url", "last")
+
+
 def last_documents(docs: DataFrame, order: str = "pos") -> DataFrame:
     """One row per id: the last row that has tokens wins, at the place of the first such row.
 
     Rows without a real title or without tokens are dropped before, so they overwrite nothing.
     """
-    titled = docs.filter(has_title(F.col("title"))).filter(has_tokens(F.col("title")))
-    latest = titled.groupBy("id").agg(
-        F.max_by(F.struct("title", "url"), F.col(order)).alias("last"),
-        F.min(order).alias("pos"),
-    )
-    return latest.select(F.col("id").cast("string").alias("id"), "pos", "last.title", "last.url")
+    return latest_rows(docs, order).drop("last")
 
 
 def with_signature(rows: DataFrame, words: Column, tasks: int | None = None) -> DataFrame:
@@ -66,14 +72,23 @@ class Index:
         return self.docs.agg(F.count("*").alias("documents"))
 
 
+def sign_documents(rows: DataFrame) -> DataFrame:
+    """Rows with ``sig`` of their titles."""
+    signed_rows = with_signature(rows, tokens(F.col("title")))
+    return signed_rows.select(*rows.columns, packed_signature(F.col("trees")).alias("sig"))
+
+
 def _signed_documents(docs: DataFrame, order: str) -> DataFrame:
-    rows = with_signature(last_documents(docs, order), tokens(F.col("title")))
-    return rows.select("id", "pos", "title", "url", packed_signature(F.col("trees")).alias("sig"))
+    return sign_documents(last_documents(docs, order))
+
+
+def keys_of(rows: DataFrame) -> DataFrame:
+    """Forest keys, cut from the signatures that a stored table holds."""
+    return forest_keys(rows.withColumn("trees", trees_of(F.col("sig"))), "pos", "id")
 
 
 def _index_of(rows: DataFrame) -> Index:
-    """Keys are cut from the signatures that a stored table holds."""
-    return Index(rows, forest_keys(rows.withColumn("trees", trees_of(F.col("sig"))), "pos", "id"))
+    return Index(rows, keys_of(rows))
 
 
 def build_index(docs: DataFrame, order: str = "pos") -> Index:

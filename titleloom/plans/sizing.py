@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from titleloom.session import ship
+
 BROADCAST_BYTES = 64 << 20
 _SALTS = 32
 _DEALT_BYTES_A_CORE, _DEALT_BYTES = 32 << 20, 8 << 30
@@ -39,7 +41,7 @@ def dealt(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     leaves rows where they are. By default that is done for inputs which Spark estimates above 32 MiB a core, or 8 GiB:
     they have splits enough, and are never shuffled for this.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
+    cores = ship(rows.sparkSession).sparkContext.defaultParallelism
     if tasks is None:
         size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         tasks = 2 * cores if size < min(cores * _DEALT_BYTES_A_CORE, _DEALT_BYTES) else 0

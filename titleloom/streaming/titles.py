@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from titleloom.functions.html import h1_source, h1_title, visible_html
 from titleloom.functions.urls import normalize_url
 from titleloom.operators.pages import accepted_pages
+from titleloom.operators.segments import SegmentedIndex
 from titleloom.sources.tables import PAGE_SCHEMA
 
 
@@ -34,7 +35,7 @@ def titles_of(
     read = accepted_pages(pages).select(
         "page_id",
         normalize_url(F.col("url")).alias("url"),
-        h1_source(visible_html(F.col("html"))).alias("h1"),
+        h1_source(visible_html(F.col("html")), F.col("html")).alias("h1"),
         *keep,
     )
     rows = read.filter(F.col("url").isNotNull())
@@ -56,3 +57,24 @@ def ingest(titles: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_index(titles: DataFrame, path: str, checkpoint: str, order: str = "page_id", compact_after: int = 20) -> StreamingQuery:
+    """Index ``(page_id, url, title)`` rows as they arrive, for all that has arrived so far.
+
+    A micro-batch becomes a segment of the index below ``path``, once, however often it is delivered. After every
+    ``compact_after`` batches the segments are made one.
+    """
+
+    def add(rows: DataFrame, batch: int) -> None:
+        index = SegmentedIndex(rows.sparkSession, path)
+        docs = rows.select(F.col("page_id").alias("id"), F.col(order).alias("pos"), "url", "title")
+        if index.add(docs, batch=batch) and batch % compact_after == compact_after - 1:
+            index.compact()
+
+    return (
+        titles.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
