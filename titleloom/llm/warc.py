@@ -3,8 +3,10 @@
 ``spark.read.format("warc")`` plans one partition per group of files, takes filters on the record type and on
 other headers into the scan, reads the headers of a record first, and inflates a payload only when the record
 passes and payloads are asked for. Every record is a gzip member of its own whose extra field ``sl`` holds
-its compressed length, so that a record that is not wanted is passed over by a seek. Archives of other
-writers lack the field; their records are inflated to find the next one.
+its compressed length, so that a record that is not wanted is passed over by a seek, and a large archive is read
+by several tasks. Archives of other writers are read as a stream of records, whatever members hold them, or as
+plain text without compression; such an archive is one task. A task finds the first member of its part by the way
+members of this writer begin; archives that hold such archives as payloads should be read whole (``partitionBytes``).
 
 ``df.write.format("warc")`` writes one file per task, or several when a file gets full. Files count once the
 job is committed: their names go to a list, and files of failed tasks are removed or never listed.
@@ -16,6 +18,8 @@ Defined results
       whose id has no number; any other id is larger.
     * Payloads below the least size are never revisits. Rows that repeat page id and payload are equal records.
     * An empty table gives an archive without records.
+    * ``payload_bytes`` counts the payload as stored; of a revisit, which has none, it is what its header says.
+    * A record that ends within its header is an error.
 """
 
 from __future__ import annotations
@@ -97,33 +101,87 @@ def _plain_digest(value: str | None) -> str | None:
 
 @dataclass
 class FileGroup(InputPartition):
-    """Archives that one task reads."""
+    """Archives that one task reads: name, and where records begin that are its own."""
 
-    files: tuple[str, ...]
+    files: tuple[tuple[str, int, int], ...]
 
 
-class Member:
-    """The record at the place where a file stands: header bytes first, the rest on demand."""
+#: How a member of this writer begins.
+_MAGIC = _MEMBER.pack(b"\x1f\x8b\x08\x04", 0, 0, 255, 12, b"sl", 8, 0, 0)[:16]
 
-    def __init__(self, file):
-        self.file, self.begin = file, file.tell()
-        head = file.read(_MEMBER.size)
-        self.end = None
-        if len(head) == _MEMBER.size and head[:4] == b"\x1f\x8b\x08\x04" and head[12:16] == b"sl\x08\x00":
-            self.end = self.begin + _MEMBER.unpack(head)[7]
-        self.inflate, self.data = zlib.decompressobj(31), b""
-        self._feed(head)
 
-    def _feed(self, raw: bytes) -> None:
-        self.data += self.inflate.decompress(raw)
+def splits(store: fs.FileSystem, path: str) -> bool:
+    """Whether the members of an archive can be found from any place in it."""
+    with store.open_input_file(path) as file:
+        return file.read(len(_MAGIC)) == _MAGIC
+
+
+def _next_member(file, at: int, end: int) -> int:
+    """Where the first member at or behind ``at`` begins, or ``end``."""
+    held = b""
+    while at + len(held) < end + len(_MAGIC):
+        file.seek(at + len(held))
+        raw = file.read(1 << 20)
+        held += raw
+        if (found := held.find(_MAGIC)) >= 0:
+            return min(at + found, end)
+        if not raw:
+            break
+        kept = max(0, len(held) - len(_MAGIC) + 1)
+        at, held = at + kept, held[kept:]
+    return end
+
+
+class Records:
+    """The records of an open archive: ``data`` begins with the current one, as far as it has been read."""
+
+    def __init__(self, file):
+        self.file, self.data = file, b""
+        self.begin = file.tell()  # of the member in which the current record begins
+        self.plain = file.read(2) != b"\x1f\x8b"
+        file.seek(self.begin)
+        self.inflate, self.waiting = None, b""
+        self.end, self.left = None, None  # of this member, if its head tells: the place behind it, bytes not yet read
+
+    def _start(self, raw: bytes) -> None:
+        place = self.file.tell() - len(raw)
+        if len(raw) < _MEMBER.size:
+            raw += self.file.read(_MEMBER.size - len(raw))
+        self.inflate, self.waiting, self.end, self.left = zlib.decompressobj(31), raw, None, None
+        if not self.data:
+            self.begin = place
+        if len(raw) >= _MEMBER.size and raw.startswith(_MAGIC):
+            size, self.left = _MEMBER.unpack(raw[:_MEMBER.size])[7:]
+            self.end = place + size
 
     def more(self) -> bool:
-        """Inflate some more; false at the end of the member."""
-        if self.inflate.eof:
+        """Read some more; false at the end of the archive."""
+        step = _HEADER_READ if len(self.data) < _HEADER_READ else 1 << 18
+        if self.plain:
+            raw = self.file.read(step)
+            self.data += raw
+            return bool(raw)
+        raw = self.waiting or self.file.read(step)
+        if not raw:
             return False
-        raw = self.file.read(_HEADER_READ if len(self.data) < _HEADER_READ else 1 << 18)
-        self._feed(raw)
-        return bool(raw)
+        if self.inflate is None:
+            self._start(raw)
+            raw = self.waiting
+        found = self.inflate.decompress(raw)
+        self.waiting = b""
+        if self.left is not None:
+            self.left -= len(found)
+        if self.inflate.eof:
+            self.waiting, self.inflate, self.end, self.left = self.inflate.unused_data, None, None, None
+        self.data += found
+        return True
+
+    def next(self) -> bool:
+        """Go to the begin of a record; false without one."""
+        while True:
+            self.data = self.data.lstrip(b"\r\n")
+            if self.data or not self.more():
+                return bool(self.data)
 
     def upto(self, mark: bytes, start: int = 0) -> int:
         """Place behind ``mark``."""
@@ -132,19 +190,34 @@ class Member:
                 raise ValueError("a record ends within its header")
         return at + len(mark)
 
-    def whole(self) -> bytes:
-        if self.end is not None and not self.inflate.eof:
-            self._feed(self.file.read(max(0, self.end - self.file.tell())))
-        while self.more():
-            pass
-        return self.data
-
-    def close(self) -> None:
-        """Go to the next record."""
-        if self.end is None:
-            self.whole()
-            self.end = self.file.tell() - len(self.inflate.unused_data)
-        self.file.seek(self.end)
+    def whole(self, size: int) -> bytes:
+        """The first ``size`` bytes of the record."""
+        parts, held = [self.data], len(self.data)
+        while held < size:
+            self.data = b""
+            if not self.more():
+                break
+            parts.append(self.data)
+            held += len(self.data)
+        self.data = b"".join(parts)
+        return self.data[:size]
+
+    def leave(self, size: int) -> None:
+        """Pass over the record, which has ``size`` bytes and an end of two lines."""
+        size -= len(self.data)
+        if self.end is not None and self.left is not None and size <= self.left <= size + 4:
+            self.file.seek(self.end)
+            self.inflate, self.waiting, self.end, self.left, self.data = None, b"", None, None, b""
+            return
+        while size > 0:
+            self.data = b""
+            if self.plain:
+                self.file.seek(size, 1)
+                return
+            if not self.more():
+                return
+            size -= len(self.data)
+        self.data = self.data[len(self.data) + size:] if size else b""
 
 
 def _accepts(filters: list, row: dict) -> bool:
@@ -190,11 +263,13 @@ class WarcReader(DataSourceReader):
         store, root = fs.FileSystem.from_uri(self.path)
         groups, size = [[]], 0
         for name, length in listed(store, root):
-            if groups[-1] and size + length > self.bytes:
-                groups.append([])
-                size = 0
-            groups[-1].append(name)
-            size += length
+            step = self.bytes if length > self.bytes and splits(store, f"{root}/{name}") else max(1, length)
+            for begin in range(0, length, step):
+                if groups[-1] and size + min(step, length - begin) > self.bytes:
+                    groups.append([])
+                    size = 0
+                groups[-1].append((name, begin, min(begin + step, length)))
+                size += min(step, length - begin)
         return [FileGroup(tuple(group)) for group in groups if group] or [FileGroup(())]
 
     def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
@@ -209,23 +284,24 @@ class WarcReader(DataSourceReader):
                 [pa.array([row[n] for row in rows], k) for n, k in zip(names, kinds, strict=True)], names=names
             )
 
-        for name in partition.files:
+        for name, begin, end in partition.files:
             with store.open_input_file(f"{root}/{name}") as file:
-                size = file.size()
-                while file.tell() < size:
-                    one = Member(file)
-                    if row := self._row(one):
+                file.seek(_next_member(file, begin, end) if begin else 0)
+                records = Records(file)
+                while records.next() and records.begin < end:
+                    row, size = self._row(records)
+                    if row:
                         rows.append(row)
                         held += len(row["payload"] or b"") + 500
-                    one.close()
+                    records.leave(size)
                     if held > _BATCH_BYTES:
                         yield batch()
                         rows, held = [], 0
         if rows:
             yield batch()
 
-    def _row(self, one: Member) -> dict | None:
-        """Header columns, then the payload if the record passes."""
+    def _row(self, one: Records) -> tuple[dict | None, int]:
+        """Header columns, then the payload if the record passes; and the size of the record."""
         block = one.upto(b"\r\n\r\n")
         warc = _fields(one.data[:block])
         row = {
@@ -234,23 +310,27 @@ class WarcReader(DataSourceReader):
             "content_type": None, "payload_digest": _plain_digest(warc.get("warc-payload-digest")),
             "payload_bytes": None, "refers_to": warc.get("warc-refers-to"), "payload": None,
         }
+        size = block + int(warc.get("content-length", 0))
         late = [x for x in self.filters if x.attribute[0] in ("content_type", "payload_bytes")]
         if not _accepts([x for x in self.filters if x not in late], row):
-            return None
-        length, start = int(warc.get("content-length", 0)), block
-        if warc.get("content-type", "").startswith("application/http"):
-            start = one.upto(b"\r\n\r\n", block)
+            return None, size
+        start = block
+        if warc.get("content-type", "").startswith("application/http") and size > block:
+            head = one.data.find(b"\r\n\r\n", block, size)
+            while head < 0 and len(one.data) < size and one.more():
+                head = one.data.find(b"\r\n\r\n", block, size)
+            start = size if head < 0 else head + 4  # a head without a body has no blank line
             http = _fields(one.data[block:start])
             row["content_type"] = http.get("content-type")
-            if http.get("content-length", "").isdigit():
+            if row["record_type"] == "revisit" and http.get("content-length", "").isdigit():
                 row["payload_bytes"] = int(http["content-length"])
         if row["payload_bytes"] is None:
-            row["payload_bytes"] = block + length - start
+            row["payload_bytes"] = size - start
         if not _accepts(late, row):
-            return None
+            return None, size
         if self.payload and row["record_type"] != "revisit":
-            row["payload"] = one.whole()[start : block + length]
-        return row
+            row["payload"] = one.whole(size)[start:]
+        return row, size
 
 
 def listed(store: fs.FileSystem, root: str) -> list[tuple[str, int]]:
