@@ -355,6 +355,7 @@ def search_updated_index(spark, folder):
     for _ in range(2):  # delivered twice
         index.add(second, batch=1, removed=short_lived.select("id"))
     index.compact()
+    index.clean()
     index.add(rows.filter(turn == 3), batch=2)
     hits = tl.search(index.load(), _passage_queries(spark, folder))
     return hits.select("qid", "id", "similarity")

@@ -72,9 +72,9 @@ class Index:
         return self.docs.agg(F.count("*").alias("documents"))
 
 
-def sign_documents(rows: DataFrame) -> DataFrame:
-    """Rows with ``sig`` of their titles."""
-    signed_rows = with_signature(rows, tokens(F.col("title")))
+def sign_documents(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows with ``sig`` of their titles. ``tasks`` as for ``dealt``."""
+    signed_rows = with_signature(rows, tokens(F.col("title")), tasks)
     return signed_rows.select(*rows.columns, packed_signature(F.col("trees")).alias("sig"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleloom.operators.index import Index, keys_of, latest_rows, sign_documents
-from titleloom.plans.durable import remove_folder, stored
+from titleloom.plans.durable import remove_folder, stored, working_tables
 from titleloom.plans.sizing import fits
 
 LOG = "segment bigint, oldest bigint, batch bigint"
@@ -69,11 +69,10 @@ class SegmentedIndex:
             raise ValueError(f"no index below {self.path}")
         return Index(*[self._live(table, log).drop("segment", "last") for table in ("docs", "keys")])
 
-    def _write(self, rows: DataFrame, segment: int, oldest: int, batch: int | None, gone: DataFrame | None) -> None:
-        """All parts of a segment, and last its row in the log. ``rows`` are documents with signatures."""
+    def _write(self, docs: DataFrame, segment: int, oldest: int, batch: int | None, gone: DataFrame | None) -> None:
+        """All parts of a segment, and last its row in the log. ``docs`` are signed and in ranges of ids."""
         if gone is not None:
             gone.write.mode("overwrite").parquet(self._part("gone", segment))
-        docs = rows.repartitionByRange("id").sortWithinPartitions("id")
         docs.write.mode("overwrite").parquet(self._part("docs", segment))
         order = ["tree", "k0", "id"]
         keys = keys_of(self.spark.read.parquet(self._part("docs", segment)))
@@ -90,6 +89,11 @@ class SegmentedIndex:
         log = self.log()
         if batch is not None and any(row["batch"] == batch for row in log):
             return False
+        with working_tables(self.spark):
+            self._add(docs, order, batch, removed, log)
+        return True
+
+    def _add(self, docs: DataFrame, order: str, batch: int | None, removed: DataFrame | None, log: list) -> None:
         segment = log[-1]["segment"] + 1 if log else 0
         fresh, gone = stored(latest_rows(docs, order), "fresh"), None
         if log:
@@ -98,20 +102,24 @@ class SegmentedIndex:
                 dropped = removed.select(F.col("id").cast("string").alias("id")).distinct()
                 ids = ids.unionByName(dropped.join(fresh, "id", "left_anti"))
             there = self._live("docs", log).select("id", "pos", "title", "url", "last", "segment")
-            old = stored(there.join(ids, "id", "left_semi"), "replaced")
+            old = stored(there.select("id", "pos", "last", "segment").join(ids, "id", "left_semi"), "replaced")
             gone = old.select("id", F.col("segment").alias("old"))
-            both = fresh.select("*", F.lit(True).alias("new")).unionByName(
-                old.join(fresh, "id", "left_semi").drop("segment").withColumn("new", F.lit(False))
-            )
-            place = F.struct("last", "new")
-            fresh = both.groupBy("id").agg(
-                F.min("pos").alias("pos"), F.max_by(F.struct("title", "url"), place).alias("won"), F.max("last").alias("last")
-            ).select("id", "pos", "won.title", "won.url", "last")
-        self._write(sign_documents(fresh), segment, log[-1]["oldest"] if log else 0, batch, gone)
-        return True
+            known = old.select("id", F.col("pos").alias("old_pos"), F.col("last").alias("old_last"))
+            merged = fresh.join(known, "id", "left").withColumn("pos", F.least("pos", "old_pos"))
+            later = F.col("old_last") > F.col("last")
+            won = merged.filter(F.coalesce(~later, F.lit(True))).select(fresh.columns)
+            # Rows that come late: the content is the one that is there.
+            lost = there.drop("pos", "segment").join(merged.filter(later).select("id", "pos"), "id")
+            fresh = won.unionByName(lost)
+        # Ranges come before signatures: Spark samples what it cuts into ranges.
+        ordered = fresh.repartitionByRange("id").sortWithinPartitions("id")
+        self._write(sign_documents(ordered, tasks=0), segment, log[-1]["oldest"] if log else 0, batch, gone)
 
     def compact(self) -> None:
-        """One segment instead of all. Readers of the old ones go on until ``clean`` removes them."""
+        """One segment instead of all. Documents are copied without a shuffle: their files are ranges of ids already.
+
+        Readers of the old segments go on until ``clean`` removes them.
+        """
         log = self.log()
         if log and log[-1]["oldest"] < log[-1]["segment"]:
             segment = log[-1]["segment"] + 1
