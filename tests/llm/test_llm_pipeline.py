@@ -94,3 +94,28 @@ def test_no_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.stored(stage(spark, docs, folder), name)
     assert docs.count() == 0
+
+
+CLASHES = ["_key", "_hash", "_sha", "_norm", "_row", "_total", "_lost", "_spans", "_words", "_items", "_id", "_text", "_name", "_source", "_weight", "_limit",
+           "_level", "_edge", "_mix_source", "_mix_copies", "_mix_edge", "_mix_with_edge", "_mix_copy", "_lang_pred", "_lang_score", "_part", "_split", "aside_key", "key"]
+
+
+def test_columns_named_like_working_columns(spark):
+    """Each stage gives the same rows, and carries such columns along."""
+    from pyspark.sql import functions as F
+
+    from titleloom.llm.decontamination import decontaminate
+    from titleloom.llm.exact_dedup import exact_dedup
+
+    folder, _ = corpus(spark)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    odd = docs.withColumns({name: F.concat(F.lit(name), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for name in CLASHES})
+    stages = [lambda docs, stage=stage: stage(spark, docs, folder) for _, stage in corpus_pipeline.STAGES[:-1]]
+    stages += [exact_dedup, lambda docs: decontaminate(docs, benchmark, block_bytes=60)]
+    for stage in stages:
+        plain, carried = stage(docs), stage(odd)
+        assert carried.columns == odd.columns
+        rows = carried.collect()
+        assert Counter(repr(tuple(r)) for r in plain.collect()) == Counter(repr(tuple(r)[: len(docs.columns)]) for r in rows)
+        assert all(r[name] == name + ("-" if r.doc_id is None else str(r.doc_id)) for r in rows for name in CLASHES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from titleloom.plans.durable import stored, working_path
 from titleloom.session import ship
 
-__all__ = ["blob", "stored", "table", "text_or_empty", "working_path"]
+__all__ = ["blob", "other_columns_aside", "stored", "table", "text_or_empty", "working_path"]
 
 #: Characters that separate words in the contracts that speak of white space: U+0020 and U+0009 to U+000D.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -30,3 +32,24 @@ def blob(column: pa.Array, i: int) -> bytes:
     """UTF-8 bytes of one string of an Arrow column; null is empty."""
     value = column[i].as_buffer()
     return value.to_pybytes() if value is not None else b""
+
+
+def other_columns_aside(function):
+    """For functions that take and return the columns of a table: columns of the input that begin with an underscore,
+    as working columns do, have other names inside and their own in the result."""
+
+    @wraps(function)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        named = {x for x in (*args, *options.values()) if isinstance(x, str)}
+        taken, aside = {name.lower() for name in docs.columns}, {}
+        for name in docs.columns:
+            if name.startswith("_") and name not in named:
+                other = "aside" + name
+                while other.lower() in taken:
+                    other = "x" + other
+                taken.add(other.lower())
+                aside[name] = other
+        out = function(docs.withColumnsRenamed(aside), *args, **options)
+        return out.withColumnsRenamed({other: name for name, other in aside.items()})
+
+    return run

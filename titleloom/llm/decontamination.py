@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from titleloom.llm.common import blob, stored, text_or_empty
+from titleloom.llm.common import blob, other_columns_aside, stored, text_or_empty
 
 WINDOW = 10
 #: Bytes of item texts in one automaton; a word takes some 0.5 KB of a Python worker.
@@ -359,6 +359,7 @@ def _block_spans(rows: DataFrame, text: str, automata: Iterable[ItemAutomaton])
     return stored(every.groupBy("_row").agg(F.flatten(F.collect_list("_spans")).alias("_spans")), "spans")
 
 
+@other_columns_aside
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titleloom.llm.common import SPACES, stored, text_or_empty
+from titleloom.llm.common import SPACES, other_columns_aside, stored, text_or_empty
 
 
 def normalised(text: str) -> Column:
@@ -82,6 +82,7 @@ def content_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", hash
     )
 
 
+@other_columns_aside
 def exact_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     groups = content_groups(docs, id, text)

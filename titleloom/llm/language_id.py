@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titleloom.llm.common import blob
+from titleloom.llm.common import blob, other_columns_aside
 
 UNDETERMINED = "und"
 #: Length of a feature vector, and the n-gram lengths that are hashed into it.
@@ -232,6 +232,7 @@ def predict_languages(
     return marked.mapInArrow(predict, marked.schema)
 
 
+@other_columns_aside
 def keep_identified(
     docs: DataFrame, least: float = LEAST_SCORE, id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> DataFrame:

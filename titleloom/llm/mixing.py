@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titleloom.llm.common import NOT_SPACES, stored, text_or_empty
+from titleloom.llm.common import NOT_SPACES, other_columns_aside, stored, text_or_empty
 from titleloom.plans.sizing import fits
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -159,6 +159,7 @@ def mixed_sizes(docs: DataFrame, id: str = "doc_id", text: str = "text", source:
     )
 
 
+@other_columns_aside
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mixture itself: rows of ``docs`` with all columns, each as often as it is taken."""
     cuts = thresholds(sized_documents(docs, id, text, source), **options)

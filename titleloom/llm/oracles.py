@@ -191,3 +191,27 @@ SELECT u.conv_id, u.depth, any_value(t.parent) AS parent_conv_id, any_value(u.n_
 FROM nodes u JOIN trees t ON t.key = u.key JOIN nodes v ON v.depth >= u.depth AND v.key[: 128 * u.depth] = u.key
   JOIN trees below ON below.key = v.key
 GROUP BY u.key, u.conv_id, u.depth"""
+
+
+ORACLES["op9_repeated_passages"] = r"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS digits,
+         octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes FROM documents),
+starts AS (
+  SELECT row, i, md5(digits[2 * i + 1 : 2 * i + 800]) AS string FROM texts, unnest(range(n_bytes - 399)) AS spot(i)),
+repeated AS (
+  SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY string) AS n FROM starts) WHERE n > 1),
+marked AS (
+  SELECT row, i, CASE WHEN i - lag(i) OVER (PARTITION BY row ORDER BY i) <= 400 THEN 0 ELSE 1 END AS fresh FROM repeated),
+runs AS (
+  SELECT row, min(i) AS begin, max(i) + 400 AS upto
+  FROM (SELECT row, i, sum(fresh) OVER (PARTITION BY row ORDER BY i) AS run FROM marked) GROUP BY row, run),
+gaps AS (
+  SELECT row, begin, upto, coalesce(lag(upto) OVER (PARTITION BY row ORDER BY begin), 0) AS before FROM runs),
+cut AS (
+  SELECT t.row, count(*) AS n_spans, sum(upto - begin)::BIGINT AS n_removed,
+         string_agg(digits[2 * before + 1 : 2 * begin], '' ORDER BY begin) || any_value(digits)[2 * max(upto) + 1 :] AS kept
+  FROM gaps JOIN texts t ON t.row = gaps.row GROUP BY t.row)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(from_hex(coalesce(kept, digits))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (row)"""

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titleloom.llm.common import blob, stored, text_or_empty
+from titleloom.llm.common import blob, other_columns_aside, stored, text_or_empty
 from titleloom.llm.components import components
 from titleloom.llm.gray_index import GrayForest, gray_rank, unite
 
@@ -209,6 +209,7 @@ def near_duplicates(
     )
 
 
+@other_columns_aside
 def keep_representatives(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of ``docs`` for each component, with all columns: that of the smallest id.
 
