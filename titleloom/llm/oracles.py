@@ -197,10 +197,10 @@ ORACLES["op9_repeated_passages"] = r"""
 WITH texts AS (
   SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS digits,
          octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes FROM documents),
-starts AS (
-  SELECT row, i, md5(digits[2 * i + 1 : 2 * i + 800]) AS string FROM texts, unnest(range(n_bytes - 399)) AS spot(i)),
+starts AS MATERIALIZED (
+  SELECT row, i, md5(substr(digits, 2 * i + 1, 800)) AS string FROM texts, unnest(range(n_bytes - 399)) AS spot(i)),
 repeated AS (
-  SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY string) AS n FROM starts) WHERE n > 1),
+  SELECT row, i FROM starts WHERE string IN (SELECT string FROM starts GROUP BY string HAVING count(*) > 1)),
 marked AS (
   SELECT row, i, CASE WHEN i - lag(i) OVER (PARTITION BY row ORDER BY i) <= 400 THEN 0 ELSE 1 END AS fresh FROM repeated),
 runs AS (
