@@ -73,7 +73,7 @@ class SegmentedIndex:
         """All parts of a segment, and last its row in the log. ``docs`` are signed and in ranges of ids."""
         if gone is not None:
             gone.write.mode("overwrite").parquet(self._part("gone", segment))
-        docs.write.mode("overwrite").parquet(self._part("docs", segment))
+        docs.write.mode("overwrite").option("compression", "zstd").parquet(self._part("docs", segment))
         order = ["tree", "k0", "id"]
         keys = keys_of(self.spark.read.parquet(self._part("docs", segment)))
         keys.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(self._part("keys", segment))
