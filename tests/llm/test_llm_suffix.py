@@ -93,5 +93,43 @@ def test_nothing_repeats_at_edges_of_pieces(spark, piece):
     assert plain_rows(found) == sorted(((i, *w) for i, w in enumerate(want)), key=repr)
 
 
+def periodic_texts(rng):
+    line, block = "-" * 60 + "\n", words(rng, 60)[:300]
+    rows = "|" + "-" * 70 + "+" + "-" * 70 + "|\n"
+    return [
+        "x" * 5000, "x" * 400, "x" * 399 + "y", "ab" * 3000, "b" + "ab" * 200, line * 90, "q" + line * 7, rows * 40, rows * 3,
+        block * 12, block[50:] + block[:50], words(rng, 300) + "=" * 2500 + words(rng, 200), "=" * 450 + words(rng, 90),
+        "ab" * 900 + "abc" * 900 + "c" * 700, line * 20 + rows * 20 + line * 20, (words(rng, 8) + "." * 700) * 6, "z" * 1201,
+    ]
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 2048])
+def test_short_periods(spark, piece):
+    texts = periodic_texts(random.Random(13))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = plain_repeats([t.encode() for t in texts], 400)
+    found = remove_repeats(docs, piece=piece).drop("kept")
+    assert plain_rows(found) == sorted(((i, *w) for i, w in enumerate(want)), key=repr)
+
+
+def test_stretches_leave_few_anchors():
+    rng = random.Random(14)
+    for text in ("-" * (1 << 20), ("-" * 79 + "\n") * 13000, words(rng, 300) + "\0" * 500_000):
+        data = np.frombuffer(text.encode(), np.uint8)
+        stretches = []
+        place, _, first, last = anchors(data, np.array([len(data)]), 400, stretches)
+        assert len(stretches) == 1
+        begin, end, period = stretches[0]
+        assert text[begin : end - period] == text[begin + period : end] and end == len(text)
+        assert (last - first + 400).sum() < 80_000 and len(place) < 200
+
+
+def test_a_long_text_of_one_character(spark):
+    docs = spark.createDataFrame([(1, "-" * 10_000_000), (2, "-" * 400 + "a"), (3, "-" * 399)], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()}
+    assert found[1][1:] == (10_000_000, 10_000_000, 1)
+    assert found[2][1:] == (401, 400, 1) and found[3][1:] == (399, 0, 0)
+
+
 def test_empty(spark):
     assert remove_repeats(no_documents(spark)).count() == 0

@@ -21,6 +21,10 @@ repeat may start. It is built from a sample of suffixes, and the others are indu
 Equal surroundings are counted before they move and are sorted once. Texts move twice, in the second case
 only those with candidates.
 
+Stretches of a short period (dashes, blanks, one character for megabytes) name an anchor at nearly every byte. There
+every start equals the one a period further, so the stretch is one span, found where the text is read, and only
+the starts of its first period, which hold every string of the stretch, look for others elsewhere.
+
 Defined results
     * A null text counts as empty. Texts shorter than ``length`` lose nothing.
     * Rows that repeat id and text are repeats of each other as a whole.
@@ -47,7 +51,11 @@ SHARD = 1000
 #: Distances from the anchor in a part, at each depth of the recursion.
 WIDTHS = (32, 4, 1)
 
+#: Bytes between the places at which stretches of a short period are looked for.
+PROBE = 128
+
 _PIECE = 1 << 20
+_LOAD_BYTES = 1 << 24
 _MULTIPLIER, _MIXER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _BATCH_ROWS = 20_000
 
@@ -80,8 +88,55 @@ def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Anchors of joined texts that end at ``ends``: place, hash, and first and last start that name it."""
+def _agreement(data: np.ndarray, at: int, period: int, stop: int) -> int:
+    """First place from ``at`` on whose byte differs from that a period further, which is before ``stop``."""
+    step = 1 << 10
+    while at + period < stop:
+        upto = min(at + step, stop - period)
+        other = data[at:upto] != data[at + period : upto + period]
+        if other.any():
+            return at + int(other.argmax())
+        at, step = upto, step * 2
+    return stop - period
+
+
+def periodic_stretches(data: np.ndarray, hashes: np.ndarray, ends: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """``(begin, end, period)`` of stretches of joined texts in which every start repeats a period further or nearer.
+
+    Periods are at most ``length``. Proposals are places with the hash of a probe; bytes decide. A stretch of fewer
+    than ``PROBE + length + period`` bytes may be passed over.
+    """
+    if len(hashes) <= length:
+        return []
+    ahead = np.lib.stride_tricks.sliding_window_view(hashes[1:], length)[::PROBE]
+    equal = ahead == hashes[: len(hashes) - length : PROBE, None]
+    text, out, done = data.tobytes(), [], 0
+    for probe in np.flatnonzero(equal.any(1)).tolist():
+        at = probe * PROBE
+        if at < done:
+            continue
+        part = int(np.searchsorted(ends, at, "right"))
+        start, stop = int(ends[part - 1]) if part else 0, int(ends[part])
+        for period in (np.flatnonzero(equal[probe]) + 1).tolist():
+            if at + period + length > stop:
+                break
+            if text[at : at + length] != text[at + period : at + period + length]:
+                continue
+            end = _agreement(data, at, period, stop) + period
+            back = data[start:stop][::-1]
+            begin = stop - _agreement(back, stop - at - period, period, stop - start) - period
+            if end - begin >= length + 2 * period:
+                out.append((begin, end, period))
+                done = end - length
+                break
+    return out
+
+
+def anchors(data: np.ndarray, ends: np.ndarray, length: int, stretches: list | None = None) -> tuple[np.ndarray, ...]:
+    """Anchors of joined texts that end at ``ends``: place, hash, and first and last start that name it.
+
+    With a list of ``stretches``, periodic ones are added to it, and their starts beyond the first period name none.
+    """
     empty = np.zeros(0, np.int64)
     if len(data) < length:
         return empty, empty.astype(np.uint64), empty, empty
@@ -89,7 +144,12 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
     low = np.uint64(_PIECE * 2 - 1)
     minima = _window_minima((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), length - GRAM + 1)
     starts = np.arange(len(minima))
-    starts = starts[ends[np.searchsorted(ends, starts, "right")] >= starts + length]
+    open_ = ends[np.searchsorted(ends, starts, "right")] >= starts + length
+    if stretches is not None:
+        stretches += periodic_stretches(data, hashes, ends, length)
+        for begin, end, period in stretches:
+            open_[begin + period : end - length + 1] = False
+    starts = starts[open_]
     if not len(starts):
         return empty, empty.astype(np.uint64), empty, empty
     place = (minima[starts] & low).astype(np.int64)
@@ -125,7 +185,10 @@ def _key(id: str, text: str) -> Column:
 
 
 def _anchor_table(rows: DataFrame, length: int, piece: int) -> DataFrame:
-    """``(key, gram, place, first, last)`` of every anchor, places within the text."""
+    """``(key, gram, place, first, last)`` of every anchor, places within the text.
+
+    Rows without ``gram`` are periodic stretches, from ``first`` to before ``last``.
+    """
 
     def find(batches):
         for batch in batches:
@@ -134,11 +197,16 @@ def _anchor_table(rows: DataFrame, length: int, piece: int) -> DataFrame:
             for own, offsets, parts in _pieces(texts, length, piece):
                 sizes = np.array([len(part) for part in parts])
                 ends = np.cumsum(sizes)
-                place, gram, first, last = anchors(np.frombuffer(b"".join(parts), np.uint8), ends, length)
+                stretches: list[tuple[int, int, int]] = []
+                place, gram, first, last = anchors(np.frombuffer(b"".join(parts), np.uint8), ends, length, stretches)
+                begins, stops = (np.array([one[i] for one in stretches], np.int64) for i in (0, 1))
+                place, first, last = np.r_[place, begins], np.r_[first, begins], np.r_[last, stops]
+                gram = np.r_[gram.view(np.int64), np.zeros(len(begins), np.int64)]
                 part = np.searchsorted(ends, first, "right")
                 shift = np.array(offsets)[part] - (ends - sizes)[part]
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(np.array(own)[part])), pa.array(gram.view(np.int64)),
+                    [keys.take(pa.array(np.array(own)[part])),
+                     pa.array(gram, mask=np.arange(len(gram)) >= len(gram) - len(begins)),
                      *[pa.array((x + shift).astype(np.int32)) for x in (place, first, last)]],
                     ["key", "gram", "place", "first", "last"],
                 )
@@ -153,14 +221,20 @@ def _surroundings(candidates: DataFrame, length: int, with_bytes: bool) -> DataF
 
     def cut(batches):
         for batch in batches:
-            column, keys, out = batch.column("text"), batch.column("key").to_pylist(), []
-            for i, found in enumerate(batch.column("anchors").to_pylist()):
-                text = blob(column, i)
-                for one in found:
-                    back, at = one["place"] - one["first"], one["first"]
-                    around = text[at : one["last"] + length]
-                    cid = hashlib.md5(around + back.to_bytes(4, "little")).digest()
-                    out.append((one["gram"], cid, back, *((around,) if with_bytes else (keys[i], at))))
+            column, keys, out, held = batch.column("text"), batch.column("key").to_pylist(), [], 0
+            lists = batch.column("anchors")
+            for i, key in enumerate(keys):
+                text, found = blob(column, i), lists[i].values
+                for begin in range(0, len(found), _BATCH_ROWS):
+                    for one in found.slice(begin, _BATCH_ROWS).to_pylist():
+                        back, at = one["place"] - one["first"], one["first"]
+                        around = text[at : one["last"] + length]
+                        cid = hashlib.md5(around + back.to_bytes(4, "little")).digest()
+                        out.append((one["gram"], cid, back, *((around,) if with_bytes else (key, at))))
+                        held += len(around)
+                    if held > _LOAD_BYTES:
+                        yield _batch(out, schema)
+                        out, held = [], 0
             yield _batch(out, schema)
 
     return candidates.mapInArrow(cut, schema)
@@ -304,15 +378,15 @@ def repeated_spans(
     hold some as ``(key, text)``. ``key`` names a row by its id and text."""
     rows = docs.select(_key(id, text).alias("key"), text_or_empty(text).alias("text"))
     found = stored(_anchor_table(rows, length, piece), "anchors")
-    repeated = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
-    near = stored(found.join(repeated, "gram", "left_semi"), "repeated-anchors")
-    lists = stored(
-        near.groupBy("key").agg(F.collect_set(F.struct("gram", "place", "first", "last")).alias("anchors")), "lists"
-    )
+    stretches, named = found.filter("gram is null"), found.filter("gram is not null")
+    repeated = stored(named.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
+    near = stored(named.join(repeated, "gram", "left_semi").unionByName(stretches), "repeated-anchors")
+    one = F.when(F.col("gram").isNotNull(), F.struct("gram", "place", "first", "last"))
+    lists = stored(near.groupBy("key").agg(F.collect_set(one).alias("anchors")), "lists")
     candidates = stored(rows.join(lists, "key"), "candidates")
     places = stored(_surroundings(candidates, length, False).select("cid", "key", "at"), "places")
     shards = stored(_distinct(_surroundings(candidates, length, True), F.lit(1)), "shards")
-    spans = None
+    spans = stretches.select("key", F.col("first").alias("begin"), F.col("last").alias("end"))
     for width in (*WIDTHS, None):
         large = shards.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > shard).select("gram")
         large = stored(large, "large")
@@ -324,8 +398,7 @@ def repeated_spans(
         own = places.join(starts, "cid").select(
             "key", (F.col("at") + F.col("begin")).alias("begin"), (F.col("at") + F.col("end") + length - 1).alias("end")
         )
-        own = stored(own, "spans")
-        spans = own if spans is None else spans.unionByName(own)
+        spans = spans.unionByName(stored(own, "spans"))
         if rest is None:
             break
         divided = stored(_divided(stored(rest, "rest"), width, length), "divided")
