@@ -27,6 +27,56 @@ def test_words_with_a_cache_are_whole_texts(tokenizer):
         assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == want, repr(text)
 
 
+def test_other_tokenizers_encode_whole_texts():
+    from pathlib import Path
+
+    from tokenizers import Tokenizer
+
+    path = str(Path(tokenizer_path()).with_name("word_bpe_49k.json"))
+    encoder, other = WordEncoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_words and WordEncoder(tokenizer_path()).by_words
+    for text in ("", " ", "It's  A  b\u0301ig DAY, no? 12\n x", "don't . , é", "a b " * 500):
+        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("change", ["prefix", "token", "normalizer", "truncation"])
+def test_a_tokenizer_that_differs_a_little(tokenizer, tmp_path, change):
+    import json
+
+    parts = json.loads(tokenizer.to_str())
+    if change == "prefix":
+        parts["pre_tokenizer"]["add_prefix_space"] = True
+    elif change == "token":
+        parts["added_tokens"].append(parts["added_tokens"][0] | {"id": 50257, "content": "big day", "special": False})
+    elif change == "normalizer":
+        parts["normalizer"] = {"type": "Lowercase"}
+    else:
+        parts["truncation"] = {"direction": "Right", "max_length": 3, "strategy": "LongestFirst", "stride": 0}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(parts))
+    from tokenizers import Tokenizer
+
+    encoder, other = WordEncoder(str(path)), Tokenizer.from_file(str(path))
+    other.no_truncation()
+    assert encoder.by_words == (change == "truncation")
+    for text in ("One big day in the Sun", "a big", "big day", "", "x  big day  y"):
+        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_rows_of_one_id_are_several_tasks(spark, tokenizer):
+    docs = spark.range(4000).selectExpr("if(id % 3 = 0, null, id % 2) as doc_id", "concat('text ', id) as text")
+    path = working_path(spark, "records")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_records(docs, path, tokenizer_path())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [row.records for row in spark.read.parquet(f"{path}/manifest").collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1000
+    found = read_records(spark, path).orderBy("start").select("doc_id").collect()
+    assert [r.doc_id for r in found] == [None] * 1334 + [0] * 1333 + [1] * 1333
+
+
 def test_odd_rows_in_order(spark, tokenizer):
     docs = odd_documents(spark)
     path = working_path(spark, "records")

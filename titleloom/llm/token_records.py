@@ -7,18 +7,21 @@ the id u32, the id, bytes of a token id u8 (2 or 4), the token ids. The checksum
 Index file: for each record ``offset u64, payload length u64, tokens before it in the file u64``, so a
 reader can fetch records in any order.
 
-Documents are dealt into ranges of the id and sorted within them; a task encodes and writes one range.
+Documents are dealt into ranges of the id, and of the place in the input among equal ids, so that an id of very many
+rows is several tasks. They are sorted within the ranges; a task encodes and writes one range.
 Files carry the name of the attempt that wrote them, and the table ``manifest`` names the files of the
 attempts that count, in order, so a repeated task leaves at most a file that nobody reads.
 
 Defined results
     * A null or empty text has no ids but the end id. Null document ids come first.
-    * Documents with equal ids follow each other in no fixed order, each with its own record.
+    * Documents with equal ids follow each other in the order in which they are read, each with its own record.
+    * Truncation and padding that a tokenizer file asks for are not applied.
     * An empty table gives no record. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -62,12 +65,33 @@ def masked(data: bytes) -> int:
     return ((crc >> 15 | crc << 17) + MASK) & 0xFFFFFFFF
 
 
+def cuts_before_blanks(tokenizer) -> bool:
+    """Whether a text may be cut before every blank that follows another character.
+
+    So it is with byte-level pairs behind the usual pattern, without a normalizer and without own tokens that hold or
+    take in white space. Of other tokenizers nothing is assumed.
+    """
+    parts = json.loads(tokenizer.to_str())
+    before, model = parts["pre_tokenizer"] or {}, parts["model"]
+    return (
+        parts["normalizer"] is None
+        and before.get("type") == "ByteLevel" and not before["add_prefix_space"] and before.get("use_regex", True)
+        and model["type"] == "BPE"
+        and not any(model.get(key) for key in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        and not any(
+            re.search(r"\s", one["content"]) or one["lstrip"] or one["rstrip"] or one["single_word"]
+            for one in parts["added_tokens"]
+        )
+    )
+
+
 class WordEncoder:
-    """Encodes texts with a byte-level tokenizer, asking it once for a word that comes again.
+    """Encodes texts with a tokenizer, asking it once for a word that comes again.
 
-    The tokenizer never joins a blank to what stands before it, so a text may be cut before every blank
+    A byte-level tokenizer never joins a blank to what stands before it, so a text may be cut before every blank
     that follows another character, and the ids of the parts, one after the other, are those of the whole.
-    Two generations of a cache of words bound its memory and keep frequent words.
+    Two generations of a cache of words bound its memory and keep frequent words. With any other tokenizer
+    texts are encoded whole.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -75,6 +99,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_words = cuts_before_blanks(self.tokenizer)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.limit = cache_words
@@ -125,6 +152,8 @@ class WordEncoder:
         return got
 
     def encode(self, text: str) -> bytes:
+        if not self.by_words:
+            return self._ask([text])[0]
         if _BLANK_AFTER_BLANK.search(text):
             parts = _CUTS.split(text)
             return b"".join(self._ask([parts[0]]) + self._look_up([part[1:] for part in parts[1:]]))
@@ -154,8 +183,9 @@ def write_records(
     end_id: int = END_ID,
 ) -> None:
     """Encode and write documents in ascending order of the id under a new folder ``path``."""
-    rows = docs.select(F.col(id).alias("id"), text_or_empty(text).alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
+    place = F.monotonically_increasing_id().alias("place")
+    rows = docs.select(F.col(id).alias("id"), text_or_empty(text).alias("text"), place)
+    ordered = rows.repartitionByRange("id", "place").sortWithinPartitions("id", "place").select("id", "text")
     ordered.mapInArrow(
         lambda batches: _write(batches, path, tokenizer, end_id),
         "part int, file string, index string, records bigint, tokens bigint",
