@@ -288,6 +288,7 @@ FROM placed WHERE (position - 1) // 10 = 1""",
     "page_counts": f"""{_TITLE_FOREST} SELECT qid, count(*) AS results,
   ceil(count(*) / 10)::BIGINT AS pages FROM hits GROUP BY qid""",
     "crawl_two_levels": f"WITH {_CRAWL} SELECT url, depth FROM crawled",
+    "crawl_resumed": f"WITH {_CRAWL} SELECT url, depth FROM crawled",
     "crawl_limit": f"WITH {_CRAWL} SELECT url, depth FROM crawled ORDER BY depth, place LIMIT 60",
     "whole_file_frequencies": f"""WITH {_FREQS} SELECT scope, ch, sum(freq)::BIGINT AS freq FROM (
       SELECT scope, ch, freq FROM freqs

@@ -223,6 +223,16 @@ def crawl_two_levels(spark, folder):
     return tl.crawl_order(_linked_pages(spark, folder), seeds, ALL_PAGES).pages.select("url", "depth")
 
 
+@query
+def crawl_resumed(spark, folder):
+    """The same crawl, stopped after each of its first two levels and taken up again from its folder."""
+    pages, seeds = _linked_pages(spark, folder), _seeds(_pages(spark, folder))
+    state = working_path(spark, "kept-crawl")
+    for _ in range(2):
+        tl.crawl_order(pages, seeds, ALL_PAGES, state=state, levels=1)
+    return tl.crawl_order(pages, seeds, ALL_PAGES, state=state).pages.select("url", "depth")
+
+
 @query
 def crawl_limit(spark, folder):
     """The first 60 pages in the order of the crawl."""

@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 from urllib.parse import urlparse
 from urllib.robotparser import RobotFileParser
 
@@ -6,6 +7,9 @@ import pytest
 
 import titleloom as tl
 from titleloom.operators.robots import AGENT
+from titleloom.plans import crawl as crawl_plan
+from titleloom.plans.buckets import BucketedTable
+from titleloom.plans.durable import shared_dir
 
 GRAPH = {
     "http://a.com": ["/p1", "/p2", "http://b.com/x"],
@@ -107,6 +111,104 @@ def test_random_graph(spark, limit):
         assert {r.url for r in crawl.visited.collect()} == queued
 
 
+def linked_graph(seed):
+    draw = random.Random(seed)
+    urls = [f"http://{h}.com/{i}" for h in ("a", "b") for i in range(30)]
+    return {u: draw.choices(urls, k=draw.randint(3, 6)) for u in draw.sample(urls, 50)}, ["http://b.com/1", "http://a.com/7"]
+
+
+def in_order(crawl):
+    return [(r.url, r.depth, r.page_id, r.title) for r in crawl.pages.orderBy("depth", "pos").collect()]
+
+
+def test_a_crawl_goes_on_after_the_driver_died(spark, tmp_path, monkeypatch):
+    (graph, seeds), limit = linked_graph(3), 12
+    pages, seeds = pages_of(spark, page_rows(graph)), seeds_of(spark, *seeds)
+    whole = tl.crawl_order(pages, seeds, limit)
+    for i, place in enumerate(["seen", "frontier/000001", "level/000001", "manifest"]):
+        state, writes = str(tmp_path / f"crawl {i}'s"), []
+        real_at, real_append = crawl_plan.stored_at, BucketedTable.append
+
+        def died(path, place=place, writes=writes):
+            writes.append(path)
+            if path.endswith(place) and sum(p.endswith(place) for p in writes) == (2 if place == "seen" else 1):
+                raise KeyboardInterrupt
+
+        def at(df, path, real_at=real_at, died=died):
+            out = real_at(df, path)
+            died(path)
+            return out
+
+        def append(self, rows, real_append=real_append, died=died):
+            real_append(self, rows)
+            died("seen" if "step" in self.schema.names else "graph")
+
+        def note(self, step, *rest, real_note=crawl_plan._Crawl.note, place=place):
+            if place == "manifest" and step == 1:
+                raise KeyboardInterrupt
+            real_note(self, step, *rest)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(crawl_plan, "stored_at", at)
+            patch.setattr(BucketedTable, "append", append)
+            patch.setattr(crawl_plan._Crawl, "note", note)
+            with pytest.raises(KeyboardInterrupt):
+                tl.crawl_order(pages, seeds, limit, state=state)
+        nothing = pages.filter("false")
+        again = tl.crawl_order(nothing, seeds, limit, state=state)
+        assert in_order(again) == in_order(whole)
+        assert sorted(again.visited.collect()) == sorted(whole.visited.collect())
+
+
+def test_levels_one_at_a_time(spark, tmp_path):
+    graph, seeds = linked_graph(4)
+    pages, seeds = pages_of(spark, page_rows(graph)), seeds_of(spark, *seeds)
+    whole, state = tl.crawl_order(pages, seeds, 10_000), str(tmp_path / "crawl")
+    assert in_order(tl.crawl_order(pages, seeds, 10_000, state=state, levels=1)) == in_order(whole)[:2]
+    tl.crawl_order(pages, seeds, 10_000, state=state, levels=1)
+    for _ in range(2):  # the second call finds an ended crawl
+        again = tl.crawl_order(pages, seeds, 10_000, state=state)
+        assert in_order(again) == in_order(whole)
+        assert sorted(again.visited.collect()) == sorted(whole.visited.collect())
+    with pytest.raises(ValueError, match="max_pages"):
+        tl.crawl_order(pages, seeds, 5, state=state)
+
+
+def test_what_was_visited_is_not_moved(spark, tmp_path, monkeypatch):
+    graph, seeds = linked_graph(5)
+    plans = []
+
+    def seen(self, step, real=crawl_plan._Crawl.new_links):
+        links = real(self, step)
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return links
+
+    monkeypatch.setattr(crawl_plan._Crawl, "new_links", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tl.crawl_order(pages_of(spark, page_rows(graph)), seeds_of(spark, *seeds), 10_000, buckets=8)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans
+    for plan in plans:
+        # The visited URLs come last: a join, then filter and sort of a scan of buckets; links are shuffled once by URL.
+        upto = next(line for line in plan.splitlines() if "Bucketed: true" in line)
+        visited = plan[plan.index("LeftAnti") : plan.index(upto)].splitlines()
+        assert not any("Exchange" in line for line in visited[-4:]), plan
+        assert plan.count("Exchange hashpartitioning(dst") == 1 and "Exchange hashpartitioning(url" not in plan, plan
+
+
+def test_a_crawl_leaves_only_its_result(spark):
+    graph, seeds = linked_graph(6)
+    robots = robots_of(spark, ("http://a.com", 200, "User-agent: *\nDisallow: /1"))
+    before = set(Path(shared_dir(spark)).iterdir())
+    crawl = tl.crawl_order(pages_of(spark, page_rows(graph)), seeds_of(spark, *seeds), 30, robots)
+    left = set(Path(shared_dir(spark)).iterdir()) - before
+    assert len(left) == 1 and {p.name for p in left.pop().iterdir()} == {"frontier", "level"}
+    assert crawl.counters().first().pages_crawled == 30
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("titleloom_")]
+
+
 def test_frontier_step(spark):
     links = spark.createDataFrame(
         [(1, "http://a.com/1", 3), (1, "http://a.com/2", 0), (2, "http://a.com/1", 0), (2, "http://a.com:8080/z", 1),

@@ -48,6 +48,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark reaches by it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 @contextmanager
 def working_tables(spark: SparkSession) -> Iterator[None]:
     """Working tables made inside are removed at the end. Results read from them, so write those inside."""
@@ -72,7 +78,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     The plan starts anew at the table, and Catalyst knows its true size for later joins.
     """
+    return stored_at(df, working_path(df.sparkSession, name))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """The same at a path; a table that an earlier attempt left there is written over."""
     spark = ship(df.sparkSession)
-    path = working_path(spark, name)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

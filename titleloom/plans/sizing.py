@@ -34,6 +34,11 @@ def lookup_join(
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
+def estimated_bytes(rows: DataFrame) -> int:
+    """Size that Spark estimates for a plan."""
+    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def dealt(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     """Rows of a small input over all cores, for a step behind it that takes long for each row.
 
@@ -43,6 +48,5 @@ def dealt(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     """
     cores = ship(rows.sparkSession).sparkContext.defaultParallelism
     if tasks is None:
-        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        tasks = 2 * cores if size < min(cores * _DEALT_BYTES_A_CORE, _DEALT_BYTES) else 0
+        tasks = 2 * cores if estimated_bytes(rows) < min(cores * _DEALT_BYTES_A_CORE, _DEALT_BYTES) else 0
     return rows.repartition(tasks) if tasks else rows
