@@ -4,9 +4,10 @@ from urllib.parse import urlparse
 from urllib.robotparser import RobotFileParser
 
 import pytest
+from pyspark.sql import functions as F
 
 import titleloom as tl
-from titleloom.operators.robots import AGENT
+from titleloom.operators.robots import AGENT, robots_rules, rule_nodes
 from titleloom.plans import crawl as crawl_plan
 from titleloom.plans.buckets import BucketedTable
 from titleloom.plans.durable import shared_dir
@@ -283,3 +284,40 @@ def test_robots_equal_the_standard_library(spark):
             if path != "*" and parser.can_fetch(AGENT, url) != (url in got):
                 wrong.append((text, url))
     assert not wrong, wrong[:3]
+
+
+def test_many_rules_are_looked_up_by_prefix(spark):
+    pick = random.Random(7)
+    way = lambda low, high: "".join(pick.choice("ab/") for _ in range(pick.randint(low, high)))
+    texts = {
+        f"http://{host}.com": "User-agent: *\n" + "".join(
+            f"{pick.choice(['Allow', 'Disallow'])}: /{way(1, 9)}\n" for _ in range(count)
+        )
+        for host, count in (("large", 3000), ("even", 70), ("small", 9))
+    }
+    urls = [(n, f"{pick.choice(list(texts))}/{way(0, 12)}", "kept") for n in range(1500)]
+    urls += [(n, "http://none.com/a", None) for n in range(3)] + [(9, None, "x"), (10, "http://large.com", "x")] + urls[:40]
+    table = spark.createDataFrame(urls, "origin int, url string, path string")
+    got = tl.robots_filter(table, robots_of(spark, *[(host, 200, text) for host, text in texts.items()]))
+    parsers = {}
+    for host, text in texts.items():
+        parsers[host] = RobotFileParser()
+        parsers[host].modified()
+        parsers[host].parse(text.splitlines())
+    allowed = lambda url: not url or "none" in url or parsers[url[: url.index(".com") + 4]].can_fetch(AGENT, url)
+    wanted = [row for row in urls if allowed(row[1])]
+    assert 300 < len(wanted) < 1400
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, wanted))
+
+
+def test_work_of_a_url_does_not_grow_with_the_rules(spark):
+    """Each URL meets at most as many nodes as its origin's rules have lengths."""
+    text = "User-agent: *\n" + "".join(f"Disallow: /p{n:05d}\n" for n in range(10_000))
+    rules = robots_rules(robots_of(spark, ("http://a.com", 200, text)))
+    nodes = rule_nodes(rules)
+    assert nodes.count() == 10_000 and nodes.select(F.char_length("prefix")).distinct().count() == 1
+    urls = spark.range(30_000).select(F.format_string("http://a.com/p%05d", F.col("id").cast("int")).alias("url"))
+    got = tl.robots_filter(urls, robots_of(spark, ("http://a.com", 200, text)))
+    assert got.count() == 20_000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan

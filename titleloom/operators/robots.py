@@ -14,6 +14,8 @@ from titleloom.plans.durable import stored
 
 # Fixed value: the default agent name that rules are looked up for.
 AGENT = "MySimpleCrawler/1.0"
+#: An origin with more rules than this is asked by prefixes and not rule by rule.
+MANY_RULES = 64
 _RULES = "array<struct<allow:boolean,path:string>>"
 
 
@@ -66,16 +68,47 @@ def robots_path(url: Column) -> Column:
     return F.when(path == "", F.lit("/")).otherwise(path)
 
 
-def robots_filter(urls: DataFrame, robots: DataFrame, agent: str = AGENT) -> DataFrame:
+def rule_nodes(rules: DataFrame) -> DataFrame:
+    """``(origin, prefix, place, allow)``: the rules as nodes of a prefix tree per origin.
+
+    A node holds the first of the rules with its path; ``place`` is its order among all rules of the origin.
+    """
+    each = rules.select("origin", F.posexplode("rules").alias("place", "rule"))
+    first = F.min(F.struct("place", "rule.allow")).alias("first")
+    return each.groupBy("origin", F.col("rule.path").alias("prefix")).agg(first).select("origin", "prefix", "first.*")
+
+
+def _denied(asked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(origin, path)`` of ``asked`` whose first rule forbids them, found by their prefixes.
+
+    Only lengths that some rule of the origin has are looked up; ``asked`` is distinct.
+    """
+    size = F.explode(F.filter("sizes", lambda n: n <= F.char_length("path"))).alias("size")
+    ways = asked.select("origin", "path", size).withColumn("prefix", F.expr("substring(path, 1, size)"))
+    met = ways.join(nodes, ["origin", "prefix"]).groupBy("origin", "path")
+    return met.agg(F.min(F.struct("place", "allow")).alias("first")).filter(~F.col("first.allow")).select("origin", "path")
+
+
+def robots_filter(urls: DataFrame, robots: DataFrame, agent: str = AGENT, many: int = MANY_RULES) -> DataFrame:
     """URLs that ``agent`` may fetch. The first rule whose path is a prefix decides.
 
     Rules are stored first. The join has no hint, so they are broadcast only when Catalyst knows them to be
-    small; else adaptive execution splits an origin with many URLs.
+    small; else adaptive execution splits an origin with many URLs. An origin with more than ``many`` rules
+    sends along the lengths of their paths only; its URLs look up their prefixes of these lengths among the
+    nodes of its prefix tree, so their work does not grow with the number of rules. The result is the same.
     """
     rules = stored(robots_rules(robots, agent), "rules")
-    joined = urls.withColumn("origin", origin(F.col("url"))).join(rules, "origin", "left")
-    path = robots_path(F.col("url"))
+    large = rules.filter(F.size("rules") > many)
+    row = urls.select(F.struct("*").alias("row"), origin(F.col("url")).alias("origin"), robots_path(F.col("url")).alias("path"))
     match = F.try_element_at(
-        F.filter("rules", lambda rule: F.startswith(path, rule["path"])), F.lit(1)
+        F.filter("rules", lambda rule: F.startswith(F.col("path"), rule["path"])), F.lit(1)
     )
-    return joined.filter(F.coalesce(match["allow"], F.lit(True))).select(*urls.columns)
+    allowed = F.coalesce(match["allow"], F.lit(True))
+    if large.isEmpty():
+        return row.join(rules, "origin", "left").filter(allowed).select("row.*")
+    nodes = stored(rule_nodes(large), "rule-nodes")
+    sizes = stored(nodes.groupBy("origin").agg(F.collect_set(F.char_length("prefix")).alias("sizes")), "rule-sizes")
+    asked = row.filter("path is not null").select("origin", "path").join(sizes, "origin").distinct()
+    denied = stored(_denied(asked, nodes), "denied")
+    kept = row.join(rules.filter(F.size("rules") <= many), "origin", "left").filter(allowed)
+    return kept.join(denied, ["origin", "path"], "left_anti").select("row.*")
