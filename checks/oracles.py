@@ -226,6 +226,14 @@ SELECT {_NORM.format('url')} AS url FROM seeds UNION
 SELECT dst FROM links WHERE {_NETLOC.format('dst')} IN (SELECT netloc FROM domains)""",
     "robots_filter": f"""SELECT page_id, url FROM (
   SELECT page_id, {_NORM.format('url')} AS url FROM pages) WHERE {_allowed('url')}""",
+    "robots_many_rules": """WITH own AS (
+  SELECT page_id, page_id // 500 AS site, regexp_extract(url, '://[^/]+(/[A-Za-z0-9/._-]*)', 1) AS path FROM pages),
+asked AS (SELECT * FROM own WHERE length(path) > 3),
+rules AS (SELECT site, page_id AS place, page_id % 3 = 0 AS allow,
+    CASE WHEN page_id % 3 = 0 THEN path ELSE left(path, length(path) - 1) END AS prefix FROM asked),
+met AS (SELECT a.page_id, arg_min(r.allow, r.place) AS allow FROM asked a
+  JOIN rules r ON r.site = a.site AND starts_with(a.path, r.prefix) GROUP BY a.page_id)
+SELECT page_id, 'http://s' || site || '.example.com' || path AS url FROM asked JOIN met USING (page_id) WHERE allow""",
     "crawl_levels": f"""WITH {_TITLES}
 SELECT url, 0 AS depth, min(page_id) AS page_id, arg_min(title, page_id) AS title
 FROM titles WHERE {_IS_SEED} GROUP BY url""",
@@ -321,6 +329,8 @@ SELECT page_id AS id, url, nullif(title, '') AS title FROM titles""",
 
     "titles_from_container_files": f"""WITH {_TITLES}
 SELECT page_id AS id, url, nullif(title, '') AS title FROM titles""",
+    "multiline_csv": """SELECT page_id, nullif(url, '') AS url, length(coalesce(html, ''))::INTEGER AS chars,
+  md5(coalesce(html, '')) AS html_md5 FROM pages""",
     "titles_from_csv": f"""WITH {_TITLES}
 SELECT page_id AS id, url, nullif(title, '') AS title FROM titles""",
     "appended_titles": f"WITH {_TITLES} SELECT url, title FROM titles",

@@ -180,6 +180,21 @@ def robots_filter(spark, folder):
     return tl.robots_filter(urls, _robots(pages))
 
 
+@query
+def robots_many_rules(spark, folder):
+    """Robots answers with a rule for every page of a site; a site is up to 500 pages in a row."""
+    site = F.format_string("http://s%d.example.com", F.floor(F.col("page_id") / 500))
+    path = F.regexp_extract("url", "://[^/]+(/[A-Za-z0-9/._-]*)", 1)
+    pages = _pages(spark, folder).select("page_id", site.alias("site"), path.alias("path")).filter(F.char_length("path") > 3)
+    rule = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("Allow: "), "path")).otherwise(
+        F.concat(F.lit("Disallow: "), F.expr("left(path, length(path) - 1)"))
+    )
+    rules = F.array_sort(F.collect_list(F.struct("page_id", rule.alias("rule"))))["rule"]
+    text = F.concat(F.lit("User-agent: *\n"), F.array_join(rules, "\n"))
+    robots = pages.groupBy(F.col("site").alias("origin")).agg(text.alias("robots_txt")).withColumn("status", F.lit(200))
+    return tl.robots_filter(pages.select("page_id", F.concat("site", "path").alias("url")), robots)
+
+
 @query
 def crawl_levels(spark, folder):
     pages = _pages(spark, folder)
@@ -551,6 +566,20 @@ def titles_from_csv(spark, folder):
     return read_titles_csv(spark, path).select(F.col("id").cast("bigint").alias("id"), "url", "title")
 
 
+@query
+def multiline_csv(spark, folder):
+    """Page sources as CSV values with line breaks in quotes, read in splits."""
+    path = working_path(spark, "pages-csv")
+    rows = _pages(spark, folder).select(F.col("page_id").alias("id"), F.col("html").alias("title"), "url")
+    rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    back = read_titles_csv(spark, path)
+    html = F.coalesce("title", F.lit(""))
+    return back.select(
+        F.col("id").cast("bigint").alias("page_id"), "url", F.char_length(html).alias("chars"),
+        F.md5(html.cast("binary")).alias("html_md5"),
+    )
+
+
 @query
 def appended_titles(spark, folder):
     """The title table after two appends."""

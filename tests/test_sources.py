@@ -1,3 +1,6 @@
+import csv
+import io
+import random
 from collections import Counter
 
 import pandas as pd
@@ -6,7 +9,7 @@ from pyspark.sql import functions as F
 import titleloom as tl
 from titleloom.functions import huffman
 from titleloom.operators.index import last_documents
-from titleloom.sources import containers, tables
+from titleloom.sources import containers, csv_splits, tables
 
 CSV = (
     "id,title,url\n"
@@ -116,3 +119,53 @@ def test_json_lines(spark, tmp_path):
     hits = spark.createDataFrame([(1, "2", "t", "u", 0.5)], "qid long, id string, title string, url string, similarity double")
     tables.write_json(hits, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).first().similarity == 0.5
+
+
+def written_csv(rows, end="\n"):
+    out = io.StringIO()
+    csv.writer(out, lineterminator=end).writerows(rows)
+    return out.getvalue()
+
+
+def test_line_breaks_in_quotes_across_splits(spark, tmp_path):
+    """One file in many tasks gives what one reader of the whole file gives."""
+    pick = random.Random(3)
+    word = lambda: "".join(pick.choice('ab",\n é') for _ in range(pick.choice([0, 3, 9, 60])))
+    rows = [[str(n), word(), word()] for n in range(600)]
+    rows[300][1] = '"x,\n' * 3000  # longer than several splits
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_bytes(written_csv([["id", "title", "url"], *rows]).encode())
+    turned = [[r[2], "-", r[0], r[1]] for r in rows[:200]]
+    (tmp_path / "in" / "b.csv").write_bytes(("\ufeff\n" + written_csv([["url", "more", "id", "title"], *turned], "\r\n")).encode())
+    (tmp_path / "in" / "empty.csv").write_bytes(b"")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2500")
+    try:
+        lines = spark.read.text(str(tmp_path / "in" / "a.csv"), lineSep="\n")
+        assert lines.rdd.getNumPartitions() > 10
+        got = tables.read_titles_csv(spark, str(tmp_path / "in")).orderBy("pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    wanted = [tuple(v or None for v in (r[0], r[2], r[1])) for r in rows + rows[:200]]
+    assert [(r.id, r.url, r.title) for r in got] == wanted
+
+
+def test_values_and_open_quotes():
+    pick = random.Random(5)
+    for _ in range(3000):
+        record = [("".join(pick.choice('ab",\n') for _ in range(pick.randint(0, 6)))) for _ in range(3)]
+        text = written_csv([record])[:-1]
+        state = False
+        lines = text.split("\n")
+        for line in lines[:-1]:
+            state = csv_splits.ends_open(line, state)
+            assert state
+        assert not csv_splits.ends_open(lines[-1], state)
+        assert csv_splits.values_of(text) == record
+    assert csv_splits.values_of('a"b,"c"d,"e\n') == ['a"b', "cd", "e\n"]
+    assert not csv_splits.ends_open('a"b,c', False) and csv_splits.ends_open('a,"b,c', False)
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,title,url\n1,a,u\n2,"b,u\n3,c,u\n')
+    rows = tables.read_titles_csv(spark, str(tmp_path / "t.csv")).orderBy("pos").collect()
+    assert [(r.id, r.title, r.url) for r in rows] == [("1", "a", "u"), ("2", "b,u\n3,c,u", None)]

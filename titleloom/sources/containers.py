@@ -27,10 +27,8 @@ _TOGETHER, _SMALL = 1000, 1 << 18
 
 
 def read_containers(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, content)`` of container files: one file, or all below a folder that have the suffix."""
-    reader = spark.read.format("binaryFile")
-    if not path.endswith(SUFFIX):
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*" + SUFFIX)
+    """``(path, content)`` of container files: one file, or all below a folder, whatever their suffix."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return reader.load(path).select("path", "content")
 
 

@@ -6,8 +6,9 @@ begin. A walk over these rows, in the order of the ranges of a file, tells the t
 scan puts lines together to records. Lines that continue a record of an earlier range travel, all else stays.
 
 Defined results
-    * The first record of a file names its columns; files may have them in different orders. A column that a
-      file lacks is NULL, and so are empty values. Blank lines are passed over.
+    * The first record of a file, which must lie in its first range, names its columns;
+      files may have them in different orders. A column that a file lacks is NULL, and so are empty values.
+    * Blank lines are passed over.
     * Quotes open a value only at its begin, and are doubled inside. What follows a closing quote belongs to the
       value. Quotes that are never closed run to the end of the file. Line breaks in quotes stay as they are.
     * Bytes that are no UTF-8 become replacement characters, as in Spark's text scan. An empty file has no rows.
@@ -15,24 +16,31 @@ Defined results
 
 from __future__ import annotations
 
-import csv
 import re
-import sys
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from titleloom.plans.durable import stored
+from titleloom.plans.sizing import BROADCAST_BYTES, fits
 from titleloom.session import ship
 
-# Values that are whole on one line, from the begin of a value; what is left of a line begins an open one.
-_WHOLE = re.compile(r'(?:(?:"(?:[^"]|"")*"(?!")[^,]*|(?!")[^,]*)(?:,|\Z))*')
-_CLOSED = re.compile(r'(?:[^"]|"")*"(?!")[^,]*(?:,|\Z)')
-_EDGES = "file string, start bigint, open_from_shut boolean, open_from_open boolean, begins_from_open boolean, head string"
-_PARTS = "file string, start bigint, number bigint, line string"
+# Values that are whole on a line, and the rest of one that began on an earlier line.
+_WHOLE = re.compile(r'(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+)(?:,|\Z))*+')
+_CLOSED = re.compile(r'[^"]*+(?:""[^"]*+)*+"[^,]*+(?:,|\Z)')
+_VALUE = re.compile(r'"([^"]*+(?:""[^"]*+)*+)(?:"([^,]*+)|\Z)|([^,]*+)')
+_BLANK = " \t\r\ufeff"
+_EDGES = pa.schema(
+    [("file", pa.string()), ("start", pa.int64()), ("shut_then_open", pa.bool_()), ("open_then_open", pa.bool_()),
+     ("open_then_begins", pa.bool_()), ("head", pa.string())]
+)
+_EDGES_DDL = "file string, start bigint, shut_then_open boolean, open_then_open boolean, open_then_begins boolean, head string"
+_RECORDS = pa.schema([("file", pa.string()), ("start", pa.int64()), ("row", pa.int64()), ("crosses", pa.bool_()), ("record", pa.string())])
+_RECORDS_DDL = "file string, start bigint, row bigint, crosses boolean, record string"
 
 
 def ends_open(line: str, begins_open: bool) -> bool:
@@ -45,161 +53,193 @@ def ends_open(line: str, begins_open: bool) -> bool:
         if not closed:
             return True
         at = closed.end()
-        if at == len(line):
-            return False
-    return _WHOLE.match(line, at).end() < len(line)
+    return at < len(line) and _WHOLE.match(line, at).end() < len(line)
+
+
+def values_of(record: str) -> list[str]:
+    """Values of a record."""
+    record = record[:-1] if record.endswith("\r") else record
+    if '"' not in record:
+        return record.split(",")
+    values, at = [], 0
+    while at <= len(record):
+        found = _VALUE.match(record, at)
+        inside, behind, plain = found.groups()
+        values.append(plain if inside is None else inside.replace('""', '"') + (behind or ""))
+        at = found.end() + 1
+    return values
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.text(path, lineSep="\n")
-    return text.select(
+    return spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
     )
 
 
-def _ranges(batches) -> Iterator[tuple[tuple[str, int], pa.Array]]:
-    """Lines of each batch, cut where the range changes."""
+def _ranges(batches) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+    """Batches, cut where the range changes."""
     for batch in batches:
         if not len(batch):
             continue
-        file, start = (batch.column(c).to_pylist() for c in ("file", "start"))
-        begin = 0
-        for i in range(1, len(batch) + 1):
-            if i == len(batch) or start[i] != start[begin] or file[i] != file[begin]:
-                yield (file[begin], start[begin]), batch.column("value").slice(begin, i - begin)
-                begin = i
-
-
-def _with_quotes(lines: pa.Array) -> list[str]:
-    return lines.filter(pc.match_substring(lines, '"')).to_pylist()
+        edges = [0]
+        if len(batch) > 1:
+            turn = [pc.not_equal(batch.column(c).slice(1), batch.column(c).slice(0, len(batch) - 1)) for c in ("file", "start")]
+            edges += [i + 1 for i in pc.indices_nonzero(pc.or_(*turn)).to_pylist()]
+        for begin, end in zip(edges, [*edges[1:], len(batch)], strict=True):
+            part = batch.slice(begin, end - begin)
+            yield (part.column("file")[0].as_py(), part.column("start")[0].as_py()), part
 
 
 def _edges(batches):
-    """A row for each range, for both ways in which it may begin; the first record of a file's first range."""
-    here, state, head = None, None, None
-
-    def row():
-        shut, opened, begins = state
-        text = "\n".join(head).removeprefix("﻿") if head is not None else None
-        columns = zip(*[(*here, shut, opened, begins, text)], strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), *[pa.bool_()] * 3, pa.string()))],
-            ["file", "start", "open_from_shut", "open_from_open", "begins_from_open", "head"],
-        )
+    """A row for each range, for both ways in which it may begin, with the first record of a file."""
+    rows, here = [], None
+
+    def row() -> dict:
+        text = "\n".join(head).strip("\ufeff") if head else None
+        return dict(zip(_EDGES.names, (*here, shut, opened, begins, text), strict=True))
 
-    for key, lines in _ranges(batches):
+    for key, part in _ranges(batches):
         if key != here:
             if here:
-                yield row()
-            here, state, head = key, (False, True, False), [] if key[1] == 0 else None
-            heading = head is not None
-        if head is not None and heading:
+                rows.append(row())
+            here, shut, opened, begins = key, False, True, False
+            head, heading = [], key[1] == 0
+        lines = part.column("value")
+        if heading:
             for line in lines.to_pylist():
-                if head or line.strip("\r﻿"):
+                if head or line.strip(_BLANK):
                     head.append(line)
-                    if not ends_open("\n".join(head), False):
-                        heading = False
+                    heading = ends_open(line, len(head) > 1)
+                    if not heading:
                         break
-        shut, opened, begins = state
-        if not opened:  # a record begins on every line outside quotes
-            begins = True
-        for line in _with_quotes(lines):
-            shut, was = ends_open(line, shut), opened
-            opened = ends_open(line, opened)
-            begins = begins or (was and not opened)
-        state = shut, opened, begins
+        for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
+            shut, opened = ends_open(line, shut), ends_open(line, opened)
+            begins = begins or not opened
     if here:
-        yield row()
+        rows.append(row())
+    if rows:
+        yield from pa.Table.from_pylist(rows, _EDGES).to_batches()
 
 
 def _walked(edges: DataFrame) -> DataFrame:
-    """``(file, start, opened, owner)``: whether a range begins inside quotes, and the range where that record began."""
-    edge = F.struct("start", "open_from_shut", "open_from_open", "begins_from_open")
-    nothing = F.struct(F.lit(False).alias("open"), F.lit(0).cast("bigint").alias("owner"), F.array().cast(
-        "array<struct<start:bigint,opened:boolean,owner:bigint>>").alias("seen"))
-
-    def step(at: Column, e: Column) -> Column:
-        begins = ~at["open"] | e["begins_from_open"]
-        seen = F.struct(e["start"].alias("start"), at["open"].alias("opened"), at["owner"].alias("owner"))
-        return F.struct(
-            F.when(at["open"], e["open_from_open"]).otherwise(e["open_from_shut"]).alias("open"),
-            F.when(begins, e["start"]).otherwise(at["owner"]).alias("owner"),
-            F.concat(at["seen"], F.array(seen)).alias("seen"),
-        )
-
-    files = edges.groupBy("file").agg(F.array_sort(F.collect_list(edge)).alias("edges"), F.max("head").alias("head"))
-    walked = files.select("file", "head", F.inline(F.aggregate("edges", nothing, step)["seen"]))
-    return walked.select("file", "start", "opened", "owner", "head")
+    """``(file, start, opened, ends, owner)`` of each range: whether it begins and ends inside quotes, and the range in
+    which the record began that is open at its begin.
 
-
-def _records(batches, opened: dict[tuple[str, int], tuple[bool, int]], whole: bool):
-    """Lines put together; ``whole`` gives records that lie in one range, else what crosses the edges of ranges.
-
-    Numbers count the records of a range; what continues an earlier record has the number -1.
+    A range ends one way however it begins, or turns its begin over, or leaves it: so the way of a range is that of the
+    last range of the first kind, turned over as often as there were turns since.
     """
-    out = ([], [], [], [])
-
-    def flush():
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())],
-            ["file", "start", "number", "line"],
-        )
-        for values in out:
-            values.clear()
-        return batch
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    sure = F.col("shut_then_open") == F.col("open_then_open")
+    turns = F.coalesce(F.sum((F.col("shut_then_open") & ~F.col("open_then_open")).cast("int")).over(before), F.lit(0))
+    known = F.last(F.when(sure, F.struct(F.col("shut_then_open").alias("open"), "turns")), ignorenulls=True).over(before)
+    since = F.col("turns") - F.coalesce("known.turns", F.lit(0))
+    opened = F.coalesce("known.open", F.lit(False)) != (since % 2 == 1)
+    ends = F.when(F.col("opened"), F.col("open_then_open")).otherwise(F.col("shut_then_open"))
+    owner = F.max(F.when(~F.col("opened") | F.col("open_then_begins"), F.col("start"))).over(before)
+    ways = edges.withColumn("turns", turns).withColumn("known", known).withColumn("opened", opened)
+    return ways.select("file", "start", "opened", ends.alias("ends"), owner.alias("owner"))
+
+
+def _records(batches):
+    """Lines put together to records; those that cross the edges of ranges come in pieces.
+
+    ``row`` counts the records of a range from 0. What continues a record of an earlier range has -1.
+    """
+    here = None
 
-    def give(number: int, held: list[str], crosses: bool):
-        if crosses != whole:
-            for values, value in zip(out, (*here, number, "\n".join(held)), strict=True):
-                values.append(value)
+    def piece(crosses: bool) -> tuple:
+        return (*here, row, crosses, "\n".join(held))
 
-    here, open_now, held, number = None, False, [], -1
-    for key, lines in _ranges(batches):
+    for key, part in _ranges(batches):
+        out = []
         if key != here:
             if here and held:
-                give(number, held, True)
+                out.append(piece(True))
             here, held = key, []
-            open_now = opened.get(key, (False, 0))[0]
-            number = -1 if open_now else 0
-        for line in lines.to_pylist():
+            opened = bool(part.column("opened")[0].as_py())
+            row = -1 if opened else 0
+        for line in part.column("value").to_pylist():
             held.append(line)
-            open_now = ends_open(line, open_now)
-            if not open_now:
-                give(number, held, number < 0)
-                held, number = [], number + 1
-        if out[0]:
-            yield flush()
+            opened = ends_open(line, opened)
+            if opened:
+                continue
+            if row < 0 or len(held) > 1 or line.strip(_BLANK):
+                out.append(piece(row < 0))
+                row += 1
+            held = []
+        if out:
+            yield _batch(out)
     if here and held:
-        give(number, held, True)
-    if out[0]:
-        yield flush()
+        yield _batch([piece(True)])
 
 
-def _parsed(columns: list[str], heads: Column, line: Column) -> Column:
-    """Values of ``columns`` by the names of the file's first record."""
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RECORDS, strict=True)], schema=_RECORDS)
 
-    @F.pandas_udf(f"array<string>")
-    def parse(head, text):
-        csv.field_size_limit(sys.maxsize)
-        places, rows = {}, []
-        for names, record in zip(head, text, strict=True):
-            if names not in places:
-                order = next(csv.reader([names.rstrip("\r")]), [])
-                places[names] = [order.index(c) if c in order else -1 for c in columns]
-            record = record[:-1] if record.endswith("\r") else record
-            found = _values(record)
-            rows.append([found[i] or None if 0 <= i < len(found) else None for i in places[names]])
-        return _series(rows)
 
-    return parse(heads, line)
+def _with_state(lines: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Lines with ``opened`` of their range, in their order."""
+    inside = stored(ranges.filter("opened").select("file", "start", "opened"), "csv-opened")
+    if fits(inside, F.length("file") + 16, BROADCAST_BYTES):
+        return lines.join(F.broadcast(inside), ["file", "start"], "left").select("file", "start", "opened", "value")
+    placed = lines.withColumn("place", F.monotonically_increasing_id()).join(inside, ["file", "start"], "left")
+    placed = placed.repartition("file", "start").sortWithinPartitions("file", "start", "place")
+    return placed.select("file", "start", "opened", "value")
+
 
+def _parsed(columns: list[str], names: Column, record: Column) -> Column:
+    """Values of ``columns`` in a record, by the names in the first record of its file."""
 
-def _series(rows: list) -> object:
-    import pandas as pd
+    @F.pandas_udf("array<string>")
+    def parse(heads: pd.Series, records: pd.Series) -> pd.Series:
+        places, rows = {}, []
+        for head, text in zip(heads, records, strict=True):
+            if head not in places:
+                order = values_of(head)
+                places[head] = [order.index(c) if c in order else -1 for c in columns]
+            found = values_of(text)
+            rows.append([(found[i] or None) if 0 <= i < len(found) else None for i in places[head]])
+        return pd.Series(rows, dtype=object)
 
-    return pd.Series(rows, dtype=object)
+    return parse(names, record)
 
 
-def _values(record: str) -> list[str]:
-    """Values of one record; the reader gets it as a whole, so that its line breaks stay."""
-    return next(csv.reader(record.splitlines(keepends=True) or [""]), [])
+def read_csv_records(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """``columns`` as strings, and ``pos``, which orders rows as they stand in the files, from CSV files with a header.
+
+    Files are read in the splits of Spark's text scan (``spark.sql.files.maxPartitionBytes``), once to see where
+    quotes are open and once for the records, and a third time for pieces where records cross splits.
+    """
+    lines = _lines(ship(spark), path)
+    edges = stored(lines.mapInArrow(_edges, _EDGES_DDL), "csv-edges")
+    ranges = stored(_walked(edges), "csv-ranges")
+    records = _with_state(lines, ranges).mapInArrow(_records, _RECORDS_DDL)
+    whole = records.filter("not crosses").select("file", "start", "row", "record")
+    open_ranges = ranges.filter("opened or ends")
+    if not open_ranges.isEmpty():
+        pieces = stored(records.filter("crosses"), "csv-pieces")
+        owned = pieces.join(ranges, ["file", "start"]).select(
+            "file",
+            F.when(F.col("row") < 0, F.col("owner")).otherwise(F.col("start")).alias("begin"),
+            F.struct("start", "row", "record").alias("piece"),
+        )
+        # One group is one record. Its begin is the piece with a number.
+        joined = owned.groupBy("file", "begin").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+        crossing = joined.select(
+            "file", F.col("begin").alias("start"), F.array_max("pieces.row").alias("row"),
+            F.array_join("pieces.record", "\n").alias("record"),
+        )
+        whole = whole.unionByName(crossing)
+    heads = edges.filter("head is not null").select("file", "head")
+    usual = heads.groupBy("head").count().orderBy(F.desc("count"), "head").first()
+    usual = usual["head"] if usual else ",".join(columns)
+    others = stored(heads.filter(F.col("head") != usual), "csv-heads")
+    if others.isEmpty():
+        named = whole.withColumn("head", F.lit(usual))
+    else:
+        named = whole.join(others, "file", "left").withColumn("head", F.coalesce("head", F.lit(usual)))
+    rows = named.filter("start > 0 or row > 0").select(
+        _parsed(columns, F.col("head"), F.col("record")).alias("values"), F.struct("file", "start", "row").alias("pos")
+    )
+    return rows.select(*[F.col("values")[i].alias(c) for i, c in enumerate(columns)], "pos")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from titleloom.sources.csv_splits import read_csv_records
+
 TITLE_COLUMNS = ["id", "url", "title"]
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 
@@ -13,9 +15,12 @@ def read_titles_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     """``(id, url, title, pos)`` from CSV files with a header, in any column order.
 
     Ids are strings as they stand. ``pos`` orders rows as they stand in the files. Values may hold doubled
-    quotes, and line breaks with ``multi_line``; without it a large file is read in splits by many tasks.
+    quotes, and line breaks with ``multi_line``. A large file is read in splits by many tasks either way;
+    without ``multi_line`` that takes one scan, and no table is written.
     """
-    raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', nullValue="", inferSchema=False)
+    if multi_line:
+        return read_csv_records(spark, path, TITLE_COLUMNS)
+    raw = spark.read.csv(path, header=True, escape='"', nullValue="", inferSchema=False)
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
