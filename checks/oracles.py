@@ -301,6 +301,7 @@ FROM placed WHERE (position - 1) // 10 = 1""",
     "whole_file_frequencies": f"""WITH {_FREQS} SELECT scope, ch, sum(freq)::BIGINT AS freq FROM (
       SELECT scope, ch, freq FROM freqs
       UNION ALL SELECT lang, chr(10), count(*) FROM documents GROUP BY lang) GROUP BY ALL""",
+    "stream_remembered_urls": f"WITH {_TITLES} SELECT DISTINCT url FROM titles",
     "stream_recent_urls": f"WITH {_TITLES} SELECT DISTINCT url FROM titles",
     "char_frequencies": f"WITH {_FREQS} SELECT scope, ch, freq FROM freqs",
     "huffman_codes": f"{_CODES} SELECT scope, ch, freq, code, length(code)::INTEGER AS code_len FROM codes",

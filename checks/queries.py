@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,7 @@ from titleloom.sources.containers import (
     write_container_files,
 )
 from titleloom.sources.tables import append_titles, read_table, read_text, read_titles_csv, write_text
-from titleloom.streaming.titles import arriving_pages, ingest, ingest_index, titles_of
+from titleloom.streaming.titles import arriving_pages, expiring_state, ingest, ingest_index, titles_of
 
 ALL_PAGES = 1 << 40
 
@@ -612,6 +613,17 @@ def stream_recent_urls(spark, folder):
     return spark.read.parquet(out).select("url")
 
 
+@query
+def stream_remembered_urls(spark, folder):
+    """As ``stream_unique_urls``, with state that expires by the clock."""
+    out, marks = working_path(spark, "stream"), working_path(spark, "stream-checkpoint")
+    arriving = arriving_pages(spark, f"{folder}/pages.parquet*")
+    with expiring_state(spark):
+        started = ingest(titles_of(arriving, remember=timedelta(days=1)), out, marks)
+    started.awaitTermination()
+    return spark.read.parquet(out).select("url")
+
+
 @query
 def stream_unique_urls(spark, folder):
     return _ingested(spark, folder, once=True).select("url")
