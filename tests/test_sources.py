@@ -169,3 +169,15 @@ def test_a_quote_that_is_never_closed(spark, tmp_path):
     (tmp_path / "t.csv").write_text('id,title,url\n1,a,u\n2,"b,u\n3,c,u\n')
     rows = tables.read_titles_csv(spark, str(tmp_path / "t.csv")).orderBy("pos").collect()
     assert [(r.id, r.title, r.url) for r in rows] == [("1", "a", "u"), ("2", "b,u\n3,c,u", None)]
+
+
+def test_text_files_stay_small_enough_to_be_read_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "_FILE_BYTES", 2000)
+    rows = [("de" if i % 3 else None, f"text {i} " + "x" * (i % 90)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    path = str(tmp_path / "texts")
+    tables.write_text(docs, path, by="lang")
+    back = tables.read_text(spark, path).collect()
+    assert max(len(r.text) for r in back) < 3000
+    assert sorted(line for r in back for line in r.text.splitlines()) == sorted(text for _, text in rows)
+    tables.write_text(docs.limit(0), str(tmp_path / "none"))

@@ -9,6 +9,8 @@ from titleloom.sources.csv_splits import read_csv_records
 
 TITLE_COLUMNS = ["id", "url", "title"]
 PAGE_SCHEMA = "page_id bigint, url string, html string"
+#: Bytes of text that a task writes, so that a file read whole is a row that workers can hold several copies of.
+_FILE_BYTES = 16 << 20
 
 
 def read_titles_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -52,10 +54,17 @@ def append_titles_jdbc(titles: DataFrame, table: str, options: dict[str, str]) -
 
 
 def write_text(texts: DataFrame, path: str, text: str = "text", by: str | None = None) -> None:
-    """Write a text column as plain UTF-8 files, each text with a line end; ``by`` names a column for subfolders."""
+    """Write a text column as plain UTF-8 files, each text with a line end; ``by`` names a column for subfolders.
+
+    Texts whose partitions hold much more than ``_FILE_BYTES`` are dealt over as many tasks as their size asks for.
+    """
     keep = [by] if by else []
-    writer = texts.select(F.col(text).alias("value"), *keep).write
-    (writer.partitionBy(by) if by else writer).text(path)
+    rows = texts.select(F.col(text).alias("value"), *keep)
+    held = rows.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("value") + 1).alias("held"))
+    most, total = held.agg(F.max("held"), F.sum("held")).first()
+    if (most or 0) > _FILE_BYTES:
+        rows = rows.repartition(-(-total // _FILE_BYTES))
+    (rows.write.partitionBy(by) if by else rows.write).text(path)
 
 
 def write_json(hits: DataFrame, path: str) -> None:
