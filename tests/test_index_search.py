@@ -241,3 +241,58 @@ def test_paging(spark):
     assert [r.position for r in first] == [*range(1, 11), 1]
     assert first[0].label == "[16.4%] t20" and first[-1].label == "[6.2%] Sin Título"
     assert {(r.qid, r.results, r.pages) for r in tl.page_counts(results).collect()} == {(1, 21, 3), (2, 1, 1)}
+
+
+def test_many_queries_meet_the_same_documents(spark, monkeypatch):
+    """Whatever the ranges of sorted slots, every query meets what a walk through the forest meets, in that order."""
+    from titleloom.operators import search as module
+
+    draw = random.Random(5)
+    values = ["hot title of all"] * 90 + [" ".join(draw.choices("abcdefgh", k=draw.randint(1, 4))) for _ in range(250)]
+    index = tl.build_index(titles(spark, values))
+    sigs = {int(r.id): slots_of(r.sig) for r in index.docs.select("id", "sig").collect()}
+    queries = values[80:140] + ["a z", "y", "hot title"]
+    asked = tl.build_index(titles(spark, queries))
+    own = {int(r.id): slots_of(r.sig) for r in asked.docs.select("id", "sig").collect()}
+    monkeypatch.setattr(module, "_FEW_SETS", 1)
+    for rows, k in ((40, 12), (1 << 20, 100)):
+        monkeypatch.setattr(module, "_RANGE_ROWS", rows)
+        got = tl.forest_candidates(index, ask(spark, *queries), k).orderBy("qid", "rank").toPandas()
+        for qid in (0, 9, 10, 25, 40, 60, 61, 62):
+            assert [int(i) for i in got[got.qid == qid].id] == forest_order(own[qid], [sigs[i] for i in range(len(values))], k)
+        monkeypatch.setattr(module, "_FEW_SETS", 1 << 20)
+        few = tl.forest_candidates(index, ask(spark, *queries), k).collect()
+        monkeypatch.setattr(module, "_FEW_SETS", 1)
+        assert sorted(map(tuple, got.itertuples(index=False))) == sorted(map(tuple, few))
+
+
+def test_nodes_at_which_nobody_meets_are_not_made(spark, monkeypatch):
+    from titleloom.operators import search as module
+
+    values = [f"w{i} x{i} y{i}" for i in range(60)]
+    index = tl.build_index(titles(spark, values))
+    listed = []
+    top = module.top_k
+    monkeypatch.setattr(module, "top_k", lambda df, keys, *a, **b: listed.append((keys, df)) or top(df, keys, *a, **b))
+    monkeypatch.setattr(module, "_FEW_SETS", 1)
+    tl.forest_candidates(index, ask(spark, *values)).count()
+    members = next(df for keys, df in listed if keys == module.NODE)
+    assert members.count() <= 3 * TREES * len(values)  # of 16 nodes a tree
+
+
+def test_order_of_many_queries(spark, monkeypatch):
+    """Hits of a query stand together, best first, and a query id that comes twice has the hits of both rows."""
+    from titleloom.operators import search as module
+
+    index = tl.build_index(titles(spark, ["a b c", "a b d", "a b c", "b c d"]))
+    asked = ask(spark, "a b c", "c b", "d", "c  B", None)
+    twice = asked.unionByName(asked.selectExpr("qid", "'d' as query"))
+    wanted = [tl.search(index, queries).collect() for queries in (asked, twice)]
+    monkeypatch.setattr(module, "_FEW_SETS", 1)
+    for queries, want in zip((asked, twice), wanted):
+        rows = tl.search(index, queries).collect()
+        assert sorted(rows) == sorted(want)
+        for qid in {r.qid for r in rows}:
+            got = [(-r.similarity, r.id) for r in rows if r.qid == qid]
+            assert got == sorted(got)
+        assert sum(a.qid != b.qid for a, b in zip(rows, rows[1:])) == len({r.qid for r in rows}) - 1
