@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from titleloom.functions import minhash
@@ -82,3 +83,21 @@ def test_coefficients_follow_from_the_seed():
     a, b = minhash.permutations()
     assert len(a) == len(b) == 128 and a.min() >= 1 and a.max() < minhash.PRIME
     assert minhash.permutations(seed=2)[0][0] != a[0]
+
+
+def test_hashes_travel_as_hex_digits(spark):
+    words = ["uno", "ñ", "", "dos", None]
+    frame = spark.createDataFrame([(words,)], "w array<string>").select(minhash.token_hashes(F.col("w")).alias("h"))
+    digits = frame.first().h
+    want = [int.from_bytes(hashlib.sha1(w.encode()).digest()[:4], "little") for w in words[:4]] + [0]
+    assert minhash._numbers(pa.array(digits)).tolist() == want
+    assert minhash._numbers(pa.array(digits[:4]).slice(1, 2)).tolist() == want[1:3]
+    assert minhash._numbers(pa.array(digits).slice(3)).tolist() == want[3:]
+    assert minhash._numbers(pa.array([], pa.string())).tolist() == []
+
+
+def test_remainders_at_the_prime():
+    hashes = np.array([0, 1, 2, 3, 4], np.uint64)
+    a, b = np.ones(1, np.uint64), np.array([minhash.PRIME - 2], np.uint64)
+    x, high = np.empty((2, 5, 1), np.uint64)
+    assert minhash._permuted(hashes, a, b, x, high).ravel().tolist() == [minhash.PRIME - 2, minhash.PRIME - 1, 0, 1, 2]

@@ -8,6 +8,7 @@ can be exchanged with it.
 
 from __future__ import annotations
 
+from binascii import unhexlify
 from functools import lru_cache
 
 import numpy as np
@@ -40,34 +41,38 @@ def permutations(num_perm: int = NUM_PERM, seed: int = SEED) -> tuple[np.ndarray
 
 
 def token_hashes(token_set: Column) -> Column:
-    """First four SHA-1 bytes of each token as a little-endian number."""
-
-    # Two steps, as an expression used four times in one lambda would be computed four times.
-    digests = F.transform(token_set, lambda t: F.substring(F.sha1(t.cast("binary")), 1, 8))
-    return F.transform(
-        digests,
-        lambda d: F.conv(
-            F.concat(*[F.substring(d, start, 2) for start in (7, 5, 3, 1)]), 16, 10
-        ).cast("bigint"),
-    )
+    """First four SHA-1 bytes of each token, as the eight digits that they have in hex."""
+    return F.transform(token_set, lambda t: F.substring(F.sha1(t.cast("binary")), 1, 8))
+
+
+def _numbers(hashes: pa.Array) -> np.ndarray:
+    """Hashes of eight hex digits as little-endian numbers. A hash of no token, NULL, is 0."""
+    if hashes.null_count:
+        hashes = hashes.fill_null("0" * 8)
+    # Strings of equal length stand back to back, in a slice from its offset on.
+    digits = memoryview(hashes.buffers()[2] or b"")[hashes.offset * 8:(hashes.offset + len(hashes)) * 8]
+    return np.frombuffer(unhexlify(digits), "<u4")
 
 
-def _permuted(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All functions of all hashes; the remainder uses that the prime is 2^61 - 1."""
-    x = hashes[:, None] * a
+def _permuted(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, x: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All functions of all hashes, in ``x``; the remainder uses that the prime is 2^61 - 1. ``high`` is work space, as
+    new arrays of this size cost more than the numbers in them."""
+    np.multiply(hashes[:, None], a, out=x)
     x += b
-    high = x >> np.uint64(61)
+    np.right_shift(x, np.uint64(61), out=high)
     x &= np.uint64(PRIME)
     x += high
-    np.subtract(x, np.uint64(PRIME), out=x, where=x >= np.uint64(PRIME))
-    x &= np.uint64(MAX_HASH)
+    if x.max() >= PRIME:
+        np.subtract(x, np.uint64(PRIME), out=x, where=x >= np.uint64(PRIME))
     return x
 
 
 def signatures_of(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Signature rows for sets stored back to back; set i is ``values[offsets[i]:offsets[i+1]]``."""
     a, b = permutations()
-    out = np.full((len(offsets) - 1, NUM_PERM), MAX_HASH, dtype=np.uint64)
+    out = np.full((len(offsets) - 1, NUM_PERM), MAX_HASH, dtype=np.uint32)
+    x, high = np.empty((2, _CHUNK, NUM_PERM), np.uint64)
+    low = np.empty((_CHUNK, NUM_PERM), np.uint32)
     first, last = int(offsets[0]), int(offsets[-1])
     for start in range(first, last, _CHUNK):
         stop = min(start + _CHUNK, last)
@@ -77,8 +82,10 @@ def signatures_of(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         starts = np.clip(offsets[lo:hi], start, stop)
         filled = np.clip(offsets[lo + 1:hi + 1], start, stop) > starts
         rows = np.arange(lo, hi)[filled]
-        block = _permuted(values[start:stop].astype(np.uint64), a, b)
-        mins = np.minimum.reduceat(block, starts[filled] - start, axis=0)
+        size = stop - start
+        block = _permuted(values[start:stop].astype(np.uint64), a, b, x[:size], high[:size])
+        np.copyto(low[:size], block, casting="unsafe")  # cuts to 32 bits
+        mins = np.minimum.reduceat(low[:size], starts[filled] - start, axis=0)
         out[rows] = np.minimum(out[rows], mins)
     return out
 
@@ -99,8 +106,7 @@ _SIGNED = T.StructType(
 
 @F.arrow_udf(_SIGNED)
 def _signed(hashes: pa.Array) -> pa.Array:
-    values = hashes.values.to_numpy(zero_copy_only=False)
-    slots = signatures_of(values, hashes.offsets.to_numpy())
+    slots = signatures_of(_numbers(hashes.values), hashes.offsets.to_numpy())
     sig = _rows_of(pa.array(slots.astype(np.int64).ravel()), NUM_PERM)
     size = DEPTH * SLOT_BYTES
     ends = np.arange(0, len(slots) * TREES * size + 1, size, dtype=np.int32)
