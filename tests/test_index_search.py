@@ -1,11 +1,14 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import titleloom as tl
+from titleloom.functions import text
 from titleloom.functions.minhash import DEPTH, MAX_HASH, TREES
+from titleloom.operators import index as index_module
 from titleloom.operators.index import Index, forest_keys, last_documents
 from titleloom.operators.search import as_json
 
@@ -296,3 +299,20 @@ def test_order_of_many_queries(spark, monkeypatch):
             got = [(-r.similarity, r.id) for r in rows if r.qid == qid]
             assert got == sorted(got)
         assert sum(a.qid != b.qid for a, b in zip(rows, rows[1:])) == len({r.qid for r in rows}) - 1
+
+
+def test_a_written_index_signs_documents_once(spark, tmp_path, monkeypatch):
+    """Spark reads what it cuts into ranges once more for a sample; signatures must not be part of that."""
+    notes = tmp_path / "notes"
+    notes.mkdir()
+
+    @F.arrow_udf("array<string>")
+    def noted(words: pa.Array) -> pa.Array:
+        import uuid
+
+        (notes / uuid.uuid4().hex).write_text(str(len(words)))
+        return words
+
+    monkeypatch.setattr(index_module, "tokens", lambda title: noted(text.tokens(title)))
+    tl.write_index(titles(spark, [f"title {i % 70}" for i in range(200)]).repartition(4), str(tmp_path / "index"))
+    assert sum(int(note.read_text()) for note in notes.iterdir()) == 200

@@ -102,8 +102,9 @@ def build_index(docs: DataFrame, order: str = "pos") -> Index:
 
 def write_index(docs: DataFrame, path: str, order: str = "pos") -> Index:
     """Index ``docs`` under ``path``, as ``save`` does, without a cache or a second signing."""
-    rows = _signed_documents(docs, order)
-    rows.repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(f"{path}/docs")
+    # Ranges come before signatures: Spark samples what it cuts into ranges.
+    ordered = last_documents(docs, order).repartitionByRange("id").sortWithinPartitions("id")
+    sign_documents(ordered, tasks=0).write.mode("overwrite").parquet(f"{path}/docs")
     keys = _index_of(docs.sparkSession.read.parquet(f"{path}/docs")).keys
     order = ["tree", "k0", "id"]
     keys.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/keys")
