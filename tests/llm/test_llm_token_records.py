@@ -27,6 +27,16 @@ def test_words_with_a_cache_are_whole_texts(tokenizer):
         assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == want, repr(text)
 
 
+def test_words_learnt_together(tokenizer):
+    encoder = WordEncoder(tokenizer_path())
+    words = ["Wort", "Wort.", "Wort!", "größer", "größer,", "\u0251b", "", ".", "..", "a1", "don't", "x.\nY"]
+    encoder._learn(set(words))
+    for word in words:
+        want = tokenizer.encode(" " + word, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.young[word], encoder.dtype).tolist() == want, repr(word)
+    assert len(encoder.young) == len(words)
+
+
 def test_other_tokenizers_encode_whole_texts():
     from pathlib import Path
 

@@ -113,28 +113,32 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array(self.code, one.ids).tobytes() for one in found]
 
-    def _ask_after_blank(self, words: list[str]) -> list[bytes]:
-        """Ids of words with the blank before them.
+    def _learn(self, words: set[str]) -> None:
+        """Put words that stand after a blank, which is not part of them, into the cache, with the ids of both.
 
         Letters alone, and letters with one mark behind them, are what the tokenizer's own pattern takes
         apart, so its model is asked for the letters without the pass that looks for the parts.
         """
-        out: list[bytes | None] = []
+        young, old, marks, code, rest = self.young, self.old, self.marks, self.code, []
         ask = self.tokenizer.model.tokenize
         for word in words:
-            letters, mark = (word[:-1], self.marks[word[-1]]) if word[-1:] in self.marks else (word, b"")
-            if letters.isalpha() and max(letters) < _PLAIN_LETTERS:
-                ids = self.young.get(letters) if mark else None
+            ids = old.get(word)
+            if ids is None:
+                mark = marks.get(word[-1:])
+                letters = word if mark is None else word[:-1]
+                plain = letters.isascii()
+                if not (letters.isalpha() and (plain or max(letters) < _PLAIN_LETTERS)):
+                    rest.append(word)
+                    continue
+                ids = young.get(letters) if mark else None
                 if ids is None:
-                    mapped = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                    ids = array(self.code, [one.id for one in ask(_BLANK + mapped)]).tobytes()
-                out.append(ids + mark)
-            else:
-                out.append(None)
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(rest, self._ask([" " + words[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
+                    mapped = letters if plain else letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                    ids = array(code, [one.id for one in ask(_BLANK + mapped)]).tobytes()
+                if mark:
+                    ids += mark
+            young[word] = ids
+        if rest:
+            young.update(zip(rest, self._ask([" " + word for word in rest]), strict=True))
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of words that stand after a blank, which is not part of the keys."""
@@ -143,12 +147,9 @@ class WordEncoder:
         if unknown:
             if len(self.young) > self.limit:
                 self.young, self.old = {}, self.young
-            known = {word: self.old.get(word) for word in {words[i] for i in unknown}}
-            new = [word for word, ids in known.items() if ids is None]
-            known.update(zip(new, self._ask_after_blank(new), strict=True))
-            self.young.update(known)
+            self._learn({words[i] for i in unknown})
             for i in unknown:
-                got[i] = known[words[i]]
+                got[i] = self.young[words[i]]
         return got
 
     def encode(self, text: str) -> bytes:
