@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import no_documents, odd_documents, words
 
@@ -136,3 +137,82 @@ def test_empty(spark):
     path = working_path(spark, "records")
     write_records(no_documents(spark), path, tokenizer_path())
     assert read_records(spark, path).count() == 0
+
+
+def test_white_space_and_marks_of_many_kinds(tokenizer):
+    rng = random.Random(3)
+    encoder = WordEncoder(tokenizer_path(), cache_words=50)
+    blanks = [" ", " ", "  ", "\n", "\n\n", " \n", "\r\n", "\t", "\x1c", "\x85", "\xa0", "　"]
+    others = ["Wort", "größer", "ɑb", "中", "'s", "dogs'", "$$$", "----", ".", "...", "x_", "1", "<|endoftext|>"]
+    for _ in range(5000):
+        text = "".join(rng.choice(blanks if rng.random() < 0.5 else others) for _ in range(rng.randrange(0, 9)))
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == want, repr(text)
+
+
+def test_words_are_asked_for_without_what_surrounds_them(tokenizer):
+    encoder = WordEncoder(tokenizer_path())
+    asked = []
+    whole, model = encoder._ask, encoder.model
+
+    class Model:
+        def tokenize(self, text):
+            asked.append(text)
+            return model.tokenize(text)
+
+    encoder.model, encoder._ask = Model(), lambda text: asked.append(text) or whole(text)
+    text = " Wort Wort$$$ Wort. Wort.\nSatz Wort?! Rest$$$ Rest..."
+    for _ in range(2):
+        found = np.frombuffer(encoder.encode(text), encoder.dtype).tolist()
+        assert found == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted(["ĠWort", "$$$", ".", "Satz", "?!", "ĠRest", "ĠRest", "..."])
+
+
+def test_long_words_are_not_kept(tokenizer):
+    encoder = WordEncoder(tokenizer_path())
+    text = " a " + "ab" * 500 + " b"
+    assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(encoder.young) == ["a", "b"]
+
+
+@pytest.mark.parametrize("content", ["ay", "day.", "!?"])
+def test_own_tokens_inside_words(tokenizer, tmp_path, content):
+    import json
+
+    from tokenizers import Tokenizer
+
+    parts = json.loads(tokenizer.to_str())
+    parts["added_tokens"].append(parts["added_tokens"][0] | {"id": 50257, "content": content})
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(parts))
+    encoder, other = WordEncoder(str(path)), Tokenizer.from_file(str(path))
+    assert encoder.by_words
+    for text in ("One big day. Day!? day", "days", "\n\nday.", "  !?", "x \n!? day.\n\nay"):
+        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_together_look_up_a_word_once(tokenizer):
+    rng = random.Random(4)
+    encoder = WordEncoder(tokenizer_path(), cache_words=50)
+    looked_up = []
+    find = encoder.young.find
+    encoder.young.find = lambda key: looked_up.append(key) or find(key)
+    texts = ["", "中", " x", "x  \n y", *("\n".join(words(rng, 12) for _ in range(3)) for _ in range(300))]
+    found = [np.frombuffer(ids, encoder.dtype).tolist() for ids in encoder.encode_all(texts)]
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert len(looked_up) <= len(set(looked_up)) + 5  # those of the text with blanks in a row come apart
+
+
+@pytest.mark.parametrize("load", [1, 300, 1 << 24])
+def test_loads_of_texts(monkeypatch, load):
+    from titleloom.llm import token_records as records
+
+    monkeypatch.setattr(records, "_LOAD_CHARS", load)
+    rng = random.Random(5)
+    rows = [(None if i % 5 == 0 else i, words(rng, i % 40)) for i in range(90)]
+    batches = [pa.RecordBatch.from_pylist([{"id": i, "text": t} for i, t in rows[k : k + 20]]) for k in range(0, 90, 20)]
+    encoder, whole = WordEncoder(tokenizer_path()), records.WordEncoder.encode_all
+    sizes = []
+    monkeypatch.setattr(encoder, "encode_all", lambda texts: sizes.append(len(texts)) or whole(encoder, texts))
+    assert list(records._encoded(batches, encoder)) == [(i, encoder.encode(t)) for i, t in rows]
+    assert max(sizes) == {1: 1, 300: max(sizes), 1 << 24: 90}[load] and sum(sizes) == 90

@@ -21,9 +21,11 @@ Defined results
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
+import string
 import struct
 import uuid
 import zlib
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,19 +47,26 @@ END_ID = 2
 MASK = 0xA282EAD8
 #: Entries of each of the two generations of the word cache of a Python worker.
 CACHE_WORDS = 300_000
+#: Characters of the longest words that are kept there.
+LONGEST_KEPT = 64
 
 _HEAD, _CHECK, _ID = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BI")
-_BLANK_AFTER_BLANK = re.compile(r"\s ")
-_CUTS = re.compile(r"(?<=\S)(?= )")
+_CUTS = re.compile(r"(?<=\S)(?=[ \n])")
+_FIRST = re.compile(r"[^ \n]*")
+#: Characters of the texts that are encoded together; a row counts as some, too.
+_LOAD_CHARS, _ROW_CHARS = 1 << 23, 100
 _SHUFFLE_READ = 1 << 22
 
 # How byte-level vocabularies write bytes as characters. Printable bytes are themselves, the
 # others are the characters from U+0100 on, in the order of the bytes.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_LETTERS = {byte: 0x100 + i for i, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_BLANK = chr(_BYTE_LETTERS[0x20])
+_OTHERS = [byte for byte in range(256) if byte not in _PRINTABLE]
+_BYTE_LETTERS = "".join(chr(byte if byte in _PRINTABLE else 0x100 + _OTHERS.index(byte)) for byte in range(256))
+_BLANK = _BYTE_LETTERS[0x20]
 #: Letters below this are letters for every version of Unicode.
 _PLAIN_LETTERS = "\u0250"
+#: Marks that may stand behind letters, and how many of them are looked at apart.
+_MARKS, _MARKS_APART = string.punctuation, 3
 
 
 def masked(data: bytes) -> int:
@@ -85,11 +95,38 @@ def cuts_before_blanks(tokenizer) -> bool:
     )
 
 
+class _Words(dict):
+    """Ids of pieces of text by their keys: the younger of two generations, which finds what it does not hold.
+
+    A piece that begins with a line break, or with a blank before white space, is its own key; other pieces stand
+    after a blank, which is not part of the key.
+    """
+
+    def __init__(self, find, limit: int):
+        super().__init__()
+        self.find, self.limit = find, limit
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.find(key)
+            if len(key) > LONGEST_KEPT:
+                return ids
+        if len(self) > self.limit:
+            self.old.clear()
+            self.old.update(self)
+            self.clear()
+        self[key] = ids
+        return ids
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer, asking it once for a word that comes again.
 
-    A byte-level tokenizer never joins a blank to what stands before it, so a text may be cut before every blank
-    that follows another character, and the ids of the parts, one after the other, are those of the whole.
+    A byte-level tokenizer never joins a blank or line break to what stands before it, unless that is white space and
+    white space, the end or an own token follows. So a text may be cut before others, and the ids of the parts, one
+    after the other, are those of the whole. Texts with such blanks are cut before white space as a whole.
     Two generations of a cache of words bound its memory and keep frequent words. With any other tokenizer
     texts are encoded whole.
     """
@@ -104,62 +141,88 @@ class WordEncoder:
         self.by_words = cuts_before_blanks(self.tokenizer)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.limit = cache_words
-        self.marks = dict(zip(".,;:!?", self._ask(list(".,;:!?")), strict=True))
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _ask(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array(self.code, one.ids).tobytes() for one in found]
-
-    def _learn(self, words: set[str]) -> None:
-        """Put words that stand after a blank, which is not part of them, into the cache, with the ids of both.
-
-        Letters alone, and letters with one mark behind them, are what the tokenizer's own pattern takes
+        own = [one.content for one in self.tokenizer.get_added_tokens_decoder().values()]
+        #: A blank or line break with white space before it that more white space, the end or an own token follows.
+        self.inside_blanks = re.compile(r"[ \n](?<=\s[ \n])(?:%s)" % "|".join([r"(?!\S)", *map(re.escape, own)]))
+        #: Whether letters with marks behind them hold no own token, so that the model may be asked for them.
+        self.plain = not any(one.rstrip(_MARKS).isalpha() or not one.strip(_MARKS) for one in own)
+        self.model = self.tokenizer.model
+        self.young = _Words(self._find, cache_words)
+        self.marks: dict[str, bytes] = {}
+        self.line = self._ask("\n")
+
+    def _ask(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return array(self.code, found.ids).tobytes()
+
+    def _find(self, key: str) -> bytes:
+        """Ids of a piece that is not in the cache.
+
+        Letters alone, and letters with marks behind them, are what the tokenizer's own pattern takes
         apart, so its model is asked for the letters without the pass that looks for the parts.
         """
-        young, old, marks, code, rest = self.young, self.old, self.marks, self.code, []
-        ask = self.tokenizer.model.tokenize
-        for word in words:
-            ids = old.get(word)
-            if ids is None:
-                mark = marks.get(word[-1:])
-                letters = word if mark is None else word[:-1]
-                plain = letters.isascii()
-                if not (letters.isalpha() and (plain or max(letters) < _PLAIN_LETTERS)):
-                    rest.append(word)
-                    continue
-                ids = young.get(letters) if mark else None
-                if ids is None:
-                    mapped = letters if plain else letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                    ids = array(code, [one.id for one in ask(_BLANK + mapped)]).tobytes()
-                if mark:
-                    ids += mark
-            young[word] = ids
-        if rest:
-            young.update(zip(rest, self._ask([" " + word for word in rest]), strict=True))
-
-    def _look_up(self, words: list[str]) -> list[bytes]:
-        """Ids of words that stand after a blank, which is not part of the keys."""
-        got = list(map(self.young.get, words))
-        unknown = [i for i, ids in enumerate(got) if ids is None] if None in got else []
-        if unknown:
-            if len(self.young) > self.limit:
-                self.young, self.old = {}, self.young
-            self._learn({words[i] for i in unknown})
-            for i in unknown:
-                got[i] = self.young[words[i]]
-        return got
+        line = key[:1] == "\n"
+        word = key[1:] if line else key
+        letters = word if word.isalpha() else word.rstrip(_MARKS)
+        marks = word[len(letters) :]
+        if (
+            not self.plain or len(marks) > _MARKS_APART
+            or not (letters.isalpha() and (letters.isascii() or max(letters) < _PLAIN_LETTERS))
+        ):
+            return self._ask(key if line or key[:1] == " " else " " + key)
+        ids = None if line or not marks else self.young.get(letters) or self.young.old.get(letters)
+        if ids is None:
+            if not letters.isascii():
+                letters = codecs.charmap_decode(letters.encode(), "strict", _BYTE_LETTERS)[0]
+            found = self.model.tokenize(letters if line else _BLANK + letters)
+            ids = array(self.code, [one.id for one in found]).tobytes()
+        if marks:
+            last = self.marks.get(marks)
+            if last is None:
+                last = self.marks[marks] = self._ask(marks)
+            ids += last
+        return self.line + ids if line else ids
+
+    def _learn(self, keys: set[str]) -> None:
+        """Put pieces into the cache."""
+        for key in keys:
+            self.young[key]
 
     def encode(self, text: str) -> bytes:
         if not self.by_words:
-            return self._ask([text])[0]
-        if _BLANK_AFTER_BLANK.search(text):
-            parts = _CUTS.split(text)
-            return b"".join(self._ask([parts[0]]) + self._look_up([part[1:] for part in parts[1:]]))
-        first, *words = text.split(" ")
-        return b"".join(self._ask([first]) * bool(first) + self._look_up(words))
+            return self._ask(text)
+        if self.inside_blanks.search(text):
+            first, *parts = _CUTS.split(text)
+            keys = [part[1:] if part[0] == " " and part[1:2] not in (" ", "\n") else part for part in parts]
+        else:
+            first, *keys = text.replace("\n", " \n").split(" ")
+        known = b"".join(map(self.young.__getitem__, keys))
+        return self._ask(first) + known if first else known
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Every different word of the texts is looked up once."""
+        if not self.by_words:
+            return [self._ask(text) for text in texts]
+        begins, rests = [], []
+        for text in texts:
+            if self.inside_blanks.search(text):
+                begins.append(self.encode(text))
+                rests.append("")
+            else:
+                first = _FIRST.match(text)[0]
+                begins.append(self._ask(first) if first else b"")
+                rests.append(text[len(first) :])
+        # Before the first blank of a rest stands an empty string, which is no word.
+        column = pa.array(rests, pa.string())
+        del rests
+        column = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        edges, words = column.offsets.to_numpy(), column.flatten().dictionary_encode()
+        del column
+        found = pa.array(list(map(self.young.__getitem__, words.dictionary.to_pylist())), pa.binary())
+        ids = found.take(words.indices)
+        bounds, data = np.frombuffer(ids.buffers()[1], np.int32), ids.buffers()[2]
+        spans = zip(begins, bounds[edges[:-1] + 1].tolist(), bounds[edges[1:]].tolist(), strict=True)
+        return [begin + data[low:high].to_pybytes() for begin, low, high in spans]
 
 
 def _id_bytes(value) -> bytes:
@@ -203,6 +266,23 @@ def _encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def _encoded(batches, encoder: WordEncoder) -> Iterator[tuple[object, bytes]]:
+    """Document ids and token ids, encoded in loads of a bounded size or of one text."""
+    keys, texts, size = [], [], 0
+    for batch in batches:
+        for key, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+            text = text.as_py()
+            grown = len(text) + _ROW_CHARS
+            if texts and size + grown > _LOAD_CHARS:
+                yield from zip(keys, encoder.encode_all(texts), strict=True)
+                keys, texts, size = [], [], 0
+            keys.append(key)
+            texts.append(text)
+            size += grown
+    if texts:
+        yield from zip(keys, encoder.encode_all(texts), strict=True)
+
+
 def _write(batches, path: str, tokenizer: str, end_id: int):
     encoder = _encoder(tokenizer)
     end = np.array([end_id], encoder.dtype).tobytes()
@@ -213,19 +293,16 @@ def _write(batches, path: str, tokenizer: str, end_id: int):
     index: list[tuple[int, int, int]] = []
     offset = tokens = 0
     out = None
-    for batch in batches:
+    for key, ids in _encoded(batches, encoder):
         if out is None:
             store.create_dir(root, recursive=True)
             out = store.open_output_stream(f"{root}/{name}.rec")
-        texts = batch.column("text")
-        for i, key in enumerate(batch.column("id").to_pylist()):
-            ids = encoder.encode(texts[i].as_py()) + end
-            payload = b"".join((_id_bytes(key), width, ids))
-            head = _HEAD.pack(len(payload))
-            out.write(b"".join((head, _CHECK.pack(masked(head)), payload, _CHECK.pack(masked(payload)))))
-            index.append((offset, len(payload), tokens))
-            offset += len(payload) + 16
-            tokens += len(ids) // encoder.dtype.itemsize
+        payload = b"".join((_id_bytes(key), width, ids, end))
+        head = _HEAD.pack(len(payload))
+        out.write(b"".join((head, _CHECK.pack(masked(head)), payload, _CHECK.pack(masked(payload)))))
+        index.append((offset, len(payload), tokens))
+        offset += len(payload) + 16
+        tokens += len(ids) // encoder.dtype.itemsize + 1
     if out is None:
         return
     out.close()
