@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from llm_cases import no_documents, odd_documents, plain_rows, words
 from titleloom.llm import simhash_dedup
 from titleloom.llm.components import components
 from titleloom.llm.simhash_dedup import keep_representatives, linked_prints, near_duplicates, simhash
+from titleloom.plans.durable import shared_dir
 
 
 def plain_print(text):
@@ -87,3 +89,27 @@ def test_odd_rows(spark):
 def test_empty(spark):
     assert near_duplicates(no_documents(spark)).count() == 0
     assert keep_representatives(no_documents(spark)).count() == 0
+
+
+def test_small_working_tables_are_few_files(spark):
+    """However many partitions shuffles have. A file for each of them costs a task and two processes."""
+    docs = spark.createDataFrame([(i, words(random.Random(i // 3), 30)) for i in range(900)], "doc_id bigint, text string")
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    known = set(folder.iterdir()) if folder.exists() else set()
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        kept = keep_representatives(docs).collect()
+        found = {r.node: r.root for r in components(spark.range(500).selectExpr("id AS a", "id + 1000 AS b")).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(r.doc_id for r in kept) == list(range(0, 900, 3))
+    assert found == {i + 1000: i for i in range(500)}
+    files = {path.name: len(list(path.glob("part-*"))) for path in set(folder.iterdir()) - known}
+    names = ("prints", "groups", "edges", "lowest", "rooted", "components", "kept")
+    assert {name for name in names if any(path.startswith(f"{name}-") for path in files)} == set(names)
+    most = spark.sparkContext.defaultParallelism
+    assert not {path: n for path, n in files.items() if path.startswith(names) and n > most}

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from titleloom.llm.common import blob, other_columns_aside, stored, text_or_empty
 from titleloom.llm.components import components
 from titleloom.llm.gray_index import GrayForest, gray_rank, unite
+from titleloom.plans.sizing import gathered
 
 SHINGLE = 4
 DISTANCE = 4
@@ -122,7 +123,8 @@ def _rank(code: Column) -> Column:
 def _placed(prints: DataFrame, distance: int, chunk: int) -> DataFrame:
     """Rows ``(view, lead, a, b, side, code)``: what is to be joined within, or between two chunks of, a group."""
     rows = _views(prints, distance)
-    sizes = stored(rows.groupBy("view", "lead").agg(F.count("*").alias("n")), "groups")
+    sizes = rows.groupBy("view", "lead").agg(F.count("*").alias("n"))
+    sizes = stored(gathered(sizes, (distance + 1) * prints.count()), "groups")
     mean = sizes.agg(F.avg("n")).first()[0] or 0
     large = stored(sizes.filter(F.col("n") > max(chunk, 2 * mean)).select("view", "lead"), "large-groups")
     keys = ["view", "lead"]
@@ -184,6 +186,24 @@ def linked_prints(prints: DataFrame, distance: int = DISTANCE, chunk: int = CHUN
     return placed.mapInArrow(lambda batches: _joined(batches, blocks, distance), "a bigint, b bigint")
 
 
+def _named_prints(
+    docs: DataFrame, id: str, text: str, shingle: int, distance: int, chunk: int
+) -> tuple[DataFrame, DataFrame, int]:
+    """``(id, print)`` of the documents, ``(print, component_id)``, and the number of documents."""
+    marked = stored(fingerprints(docs, id, text, shingle), "fingerprints")
+    most = marked.count()
+    nodes = stored(gathered(marked.groupBy("print").agg(F.min("id").alias("first")), most), "prints")
+    roots = components(stored(linked_prints(nodes.select("print"), distance, chunk), "links"))
+    rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
+        "print", "first", F.coalesce("root", "print").alias("root")
+    )
+    rooted = stored(gathered(rooted, most), "rooted")
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    lowest = stored(gathered(lowest, most), "lowest")
+    named = stored(gathered(rooted.join(lowest, "root").select("print", "component_id"), most), "components")
+    return marked, named, most
+
+
 def near_duplicates(
     docs: DataFrame,
     id: str = "doc_id",
@@ -193,15 +213,7 @@ def near_duplicates(
     chunk: int = CHUNK,
 ) -> DataFrame:
     """Per document the id, its ``fingerprint`` and ``component_id``, the smallest id that links reach."""
-    marked = stored(fingerprints(docs, id, text, shingle), "fingerprints")
-    nodes = stored(marked.groupBy("print").agg(F.min("id").alias("first")), "prints")
-    roots = components(stored(linked_prints(nodes.select("print"), distance, chunk), "links"))
-    rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
-        "print", "first", F.coalesce("root", "print").alias("root")
-    )
-    rooted = stored(rooted, "rooted")
-    lowest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "lowest")
-    named = stored(rooted.join(lowest, "root").select("print", "component_id"), "components")
+    marked, named, _ = _named_prints(docs, id, text, shingle, distance, chunk)
     return marked.join(named, "print").select(
         F.col("id").alias(id),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -210,14 +222,23 @@ def near_duplicates(
 
 
 @other_columns_aside
-def keep_representatives(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def keep_representatives(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+    chunk: int = CHUNK,
+) -> DataFrame:
     """One row of ``docs`` for each component, with all columns: that of the smallest id.
 
     Null ids are larger than others; of equal ids the row whose hash of id and text is smallest stays.
     """
     key = F.md5(F.concat(F.coalesce(F.col(id).cast("string"), F.lit("")), F.lit(":"), text_or_empty(text)))
     name = F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), key.alias("key"))
-    named = near_duplicates(docs.select(name.alias("_name"), F.col(text).alias("_text")), "_name", "_text", **options)
-    kept = stored(named.filter(F.col("_name").eqNullSafe(F.col("component_id"))).select("_name.key").distinct(), "kept")
+    rows = docs.select(name.alias("_name"), F.col(text).alias("_text"))
+    marked, named, most = _named_prints(rows, "_name", "_text", shingle, distance, chunk)
+    kept = marked.join(named, "print").filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id.key").distinct()
+    kept = stored(gathered(kept, most), "kept")
     rows = docs.withColumn("_key", key)
     return rows.join(kept, rows["_key"] == kept["key"], "left_semi").dropDuplicates(["_key"]).drop("_key")

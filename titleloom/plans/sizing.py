@@ -1,4 +1,4 @@
-"""Plans by size: broadcasts behind a check of the measured size, and small inputs dealt over all cores."""
+"""Plans by size: broadcasts behind a check of the measured size, small inputs dealt over all cores, small results gathered."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from titleloom.session import ship
 BROADCAST_BYTES = 64 << 20
 _SALTS = 32
 _DEALT_BYTES_A_CORE, _DEALT_BYTES = 32 << 20, 8 << 30
+#: Rows of a few keys and numbers that one task writes.
+ROWS_A_FILE = 1 << 20
 
 
 def fits(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) -> bool:
@@ -50,3 +52,13 @@ def dealt(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     if tasks is None:
         tasks = 2 * cores if estimated_bytes(rows) < min(cores * _DEALT_BYTES_A_CORE, _DEALT_BYTES) else 0
     return rows.repartition(tasks) if tasks else rows
+
+
+def gathered(rows: DataFrame, most_rows: int) -> DataFrame:
+    """Narrow rows, ``most_rows`` at most, in the tasks that they fill, but in one for each core at least.
+
+    For working tables behind a shuffle. Where Spark does not join small partitions itself, every partition writes a
+    file, however few rows it has, and Hadoop's local store starts two processes of the executor for each file.
+    """
+    cores = ship(rows.sparkSession).sparkContext.defaultParallelism
+    return rows.coalesce(max(cores, -(-most_rows // ROWS_A_FILE)))
